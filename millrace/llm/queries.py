@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .host_rules import op5_host_rules
 from .langid import op7_language
 from .mixing import op8_mixing
+from .packing import op6_packing
 from .secret_scan import op1_secret_scan
 from .sharding import op2_sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op5_host_rules, op7_language, op8_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op5_host_rules, op6_packing, op7_language, op8_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
