@@ -13,9 +13,11 @@ from .packing import op6_packing
 from .secret_scan import op1_secret_scan
 from .sharding import op2_sharding
 
+from .signature_tree import op10_jaccard_join
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op5_host_rules, op6_packing, op7_language, op8_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op5_host_rules, op6_packing, op7_language, op8_mixing, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
