@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .host_rules import op5_host_rules
 from .langid import op7_language
+from .lattice import op3_lattice
 from .mixing import op8_mixing
 from .packing import op6_packing
 from .secret_scan import op1_secret_scan
@@ -17,7 +18,7 @@ from .signature_tree import op10_jaccard_join
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op5_host_rules, op6_packing, op7_language, op8_mixing, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_sharding, op3_lattice, op5_host_rules, op6_packing, op7_language, op8_mixing, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
