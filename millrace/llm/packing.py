@@ -26,10 +26,10 @@ from .common import documents, map_rows, tokenizer_path
 CAPACITY = 4096
 END = 2
 #: What is left of a document beyond whole windows is cut into pieces of so many ids at most, so that windows can be near-equal.
-PIECE = 1024
+PIECE = 512
 #: Windows that are divided together, and how full they should be.
 GROUP = 64
-FILL = 0.999
+FILL = 0.996
 #: Words whose ids are kept, in each of two generations.
 WORDS = 500_000
 

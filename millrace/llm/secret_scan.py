@@ -115,5 +115,32 @@ def redacted(text: str, spans: str, mark: str = "[secret]") -> str:
     return "".join([*out, text[at:]])
 
 
+def without_secrets(docs: DataFrame, ratio: float = RATIO, path: str | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, with every span in a text replaced.
+
+    n_chars, where there is such a column, is the length of the new text.
+    """
+
+    def make():
+        enc = encoder(tokenizer_path("byte_bpe_50k.tiktoken", path))
+        tokens = lambda s: len(enc.encode_ordinary(s))
+
+        def rows(cols):
+            cols = dict(cols)
+            lengths = list(cols["n_chars"]) if "n_chars" in cols else None
+            texts = []
+            for i, text in enumerate(cols["text"]):
+                if spans := spelled([*base_spans(text or ""), *random_spans(text or "", tokens, ratio)]):
+                    text = redacted(text, spans)
+                    if lengths:
+                        lengths[i] = len(text)
+                texts.append(text)
+            return cols | {"text": texts} | ({"n_chars": lengths} if lengths else {})
+
+        return rows
+
+    return map_rows(docs, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir))

@@ -295,5 +295,19 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     return joined.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those that a smaller doc_id is connected to.
+
+    Of rows with the same doc_id one stays; rows with a null doc_id all stay.
+    """
+    found = settle(similar(docs, words, part, whole), "found")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return left
+    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(left.where("doc_id IS NULL"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(documents(spark, sf_dir))
