@@ -35,6 +35,8 @@ RULES: dict[str, str] = {
 }
 BASE = ("few_words", "repeats")
 LIMIT = 0.5
+#: The prior counts as so many documents at least, however much the hosts differ, so that no host falls with a single one.
+LEAST_PRIOR = 5.0
 
 
 def repeated(words: list[bytes]) -> int:
@@ -109,7 +111,7 @@ def host_verdicts(stats: DataFrame, host: str, rules: dict[str, str] = RULES, li
         mean = moments[f"{name}_mean"] or 0.0
         # what the rates differ by beyond the chance of a sample of each host
         between = max((moments[f"{name}_var"] or 0.0) - mean * (1 - mean) * (moments["noise"] or 0.0), 1e-6)
-        strength = max(mean * (1 - mean) / between - 1, 1.0)
+        strength = max(mean * (1 - mean) / between - 1, LEAST_PRIOR)
         shrunk.append((F.col(name) + mean * strength) / (F.col("host_docs") + strength))
     rate = F.greatest(*shrunk) if len(shrunk) > 1 else shrunk[0]
     return counts.select("host", "host_docs", rate.alias("host_rate"), (rate > limit).alias("host_rejected"))
