@@ -145,4 +145,4 @@ def kept_documents(docs: DataFrame, host: str = "source", limit: float = LIMIT)
 
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules(documents(spark, sf_dir))
+    return host_rules(documents(spark, sf_dir)).drop("host_rate")
