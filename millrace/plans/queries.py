@@ -207,6 +207,17 @@ def _outcome_sql(p: patterns.SequencePattern) -> str:
     outc AS (SELECT *, coalesce(n2.ts - ts < {p.within}, false) AS two, coalesce(n2.ts - ts < {p.within} AND n2.n.ts - ts < {p.within}, false) AS three, n2.ts AS ts2, n2.n.ts AS ts3 FROM s2 WHERE event_type = '{a}')"""
 
 
+def _alerts_sql() -> str:
+    """The alerts of all patterns: inserted_at, alert_type, pipeline_id, service_name, detail, note."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    out = []
+    for p in patterns.PATTERNS:
+        note = "((ts3 - ts) / 60000.0::DOUBLE) || ' min to rollback'" if p is patterns.ROLLBACK_CASCADE else "'failures=2'" if p is patterns.DEPLOY_INSTABILITY else quoted(patterns.LIKELY_CAUSE)
+        out.append(f"""SELECT CASE WHEN three THEN ts3 ELSE ts + {p.within} END AS inserted_at, CASE WHEN three THEN '{p.name}' ELSE '{p.name}_TIMEOUT' END AS alert_type, pipeline_id, service_name,
+        CASE WHEN three THEN {quoted(p.title)} ELSE {quoted(p.timeout_text)} END AS detail, CASE WHEN three THEN {note} END AS note FROM (WITH {_outcome_sql(p)} SELECT * FROM outc)""")
+    return " UNION ALL ".join(out)
+
+
 def _iso(ms: str) -> str:
     return f"strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
 
@@ -281,6 +292,8 @@ def oracle_sql() -> dict[str, str]:
         "dash_latency_span": f"{mt} SELECT metric_type, CAST(max(inserted_at) - min(received) AS DOUBLE) AS span_ms FROM mt WHERE received IS NOT NULL AND metric_type NOT IN ('PIPELINE_HEALTH_SCORE', 'PIPELINE_HEALTH_SCORE_LIVE') GROUP BY 1",
         "dash_late_counts": f"WITH {ev_late}, {WMK}, {LATE}, lc AS ({counted.format(V.DEPLOYMENT_FREQUENCY)}) SELECT window_start_ms, window_end_ms, pipeline_id, service_name, value AS late_event_count, window_end_ms + 5000 AS computed_at FROM lc ORDER BY window_end_ms DESC, pipeline_id LIMIT 20",
         "dash_latest_metrics": f"{mt} SELECT metric_type, pipeline_id, value, performance_band, inserted_at FROM mt ORDER BY inserted_at DESC, metric_type, pipeline_id, window_end_ms LIMIT 20",
+        "dash_pattern_alerts": f"WITH {ev_fast} SELECT inserted_at AS computed_at, alert_type, pipeline_id, service_name, detail, note FROM ({_alerts_sql()}) ORDER BY inserted_at DESC, alert_type, pipeline_id, service_name, note LIMIT 30",
+        "dash_latest_alerts": f"WITH {ev_fast} SELECT alert_type, pipeline_id, inserted_at FROM ({_alerts_sql()}) ORDER BY inserted_at DESC, alert_type, pipeline_id LIMIT 20",
         "dash_metric_counts": f"{mt} SELECT metric_type, count(*) AS n FROM mt GROUP BY 1",
         "dash_alert_durations": f"WITH {ev_fast}, {_outcome_sql(patterns.ROLLBACK_CASCADE)} SELECT ts3 AS inserted_at, pipeline_id AS pipeline, (ts3 - ts) / 60000.0::DOUBLE AS duration_min FROM outc WHERE three",
     }

@@ -323,12 +323,40 @@ class BandChange(Machine):
         return [e]
 
 
+class BandChanges(Machine):
+    """The rows of another machine of the same key whose band has changed."""
+
+    def __init__(self, inner, state=None) -> None:
+        super().__init__(state)
+        self.inner = inner(self.state["inner"] or None)
+        self.state["inner"] = self.inner.state
+        self.bands = BandChange(self.state["bands"])
+        self.timed, self.types = self.inner.timed, self.inner.types
+
+    def empty(self):
+        return {"inner": {}, "bands": {}}
+
+    def passed(self, rows):
+        return [r for row in rows for r in self.bands.on_event(row, 0)]
+
+    def on_event(self, e, watermark):
+        return self.passed(self.inner.on_event(e, watermark))
+
+    def timers(self):
+        return self.inner.timers()
+
+    def on_timer(self, at, watermark):
+        self.inner.state["key"] = self.state.get("key")
+        return self.passed(self.inner.on_timer(at, watermark))
+
+
 MACHINES = {
     "lead_time": LeadTime,
     "mttr": RecoveryTime,
     "live_deployments": lambda s=None: Live(Deployments(), s),
     "live_cfr": lambda s=None: Live(FailureRate(), s),
     "live_health": lambda s=None: Live(Health(), s, each=True),
+    "live_health_bands": lambda s=None: BandChanges(MACHINES["live_health"], s),
     "deploy_frequency": lambda s=None: LateWindows(Deployments(), s),
     "change_failure_rate": lambda s=None: LateWindows(FailureRate(), s),
     "health_score": lambda s=None: LateWindows(Health(), s),

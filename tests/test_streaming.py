@@ -13,7 +13,7 @@ from millrace.operators import dora, late, live
 from millrace.plans.sinks import MetricTable, to_sinks
 from millrace.sources.readers import from_rows
 from millrace.streaming import machines as M
-from millrace.streaming import processors, windows
+from millrace.streaming import jobs, processors, windows
 
 
 def stream(spark, path, events):
@@ -130,3 +130,26 @@ def test_windows_machine_equals_batch(spark):
 def test_band_change_machine():
     m = M.BandChange()
     assert [bool(m.on_event({"performance_band": b}, 0)) for b in ("Low", "Low", "Elite", None, None, "Elite")] == [True, False, True, True, True, True]
+
+
+def test_health_bands_machine():
+    m = M.MACHINES["live_health_bands"]()
+    got = []
+    for i, t in enumerate(["BUILD_SUCCESS", "TEST_SUCCESS", "BUILD_FAILED", "BUILD_FAILED", "BUILD_FAILED"]):
+        got += m.on_event(event(t, i * SEC, seq=i), -1)
+        m = M.MACHINES["live_health_bands"](json.loads(json.dumps(m.state)))
+    assert [(r["performance_band"], r["seq"]) for r in got] == [("Elite", 0), ("High", 2)]
+
+
+def test_whole_job(spark, tmp_path):
+    events = [event("BUILD_STARTED", 0), event("DEPLOY_SUCCESS", MIN), event("BUILD_FAILED", 2 * MIN), event("BUILD_SUCCESS", 3 * MIN)]
+    posted, marks = [], []
+    listener = jobs.watermark_sink(marks.append)
+    spark.streams.addListener(listener)
+    parts = ("lead_time", "mttr", "live_deployments")
+    for q in jobs.start(stream(spark, tmp_path / "in", spaced(events)), str(tmp_path / "out"), str(tmp_path / "cp"), lambda a: posted.extend(r["text"] for r in a.collect()), parts, {"availableNow": True}):
+        q.awaitTermination(180)
+    got = {r["metric_type"]: r["value"] for r in jobs.metrics(spark, str(tmp_path / "out"), parts).collect()}
+    spark.streams.removeListener(listener)
+    assert got == {V.LEAD_TIME: 1.0, V.RECOVERY_TIME: 1.0, V.DEPLOYMENT_FREQUENCY_LIVE: 1.0}
+    assert len(posted) == 2 and all(m > BASE - MIN for m in marks)
