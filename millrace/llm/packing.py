@@ -28,7 +28,7 @@ END = 2
 #: What is left of a document beyond whole windows is cut into pieces of so many ids at most, so that windows can be near-equal.
 PIECE = 512
 #: Windows that are divided together, and how full they should be.
-GROUP = 64
+GROUP = 32
 FILL = 0.996
 #: Words whose ids are kept, in each of two generations.
 WORDS = 500_000
@@ -40,15 +40,21 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are packed on machines with little-endian 32-bit integers")
 
 
+#: A mark after a word is a run of its own to the tokenizer.
+MARKS = b".,;:!?"
+#: Letters that are in normal form by themselves, and have one letter as their lower case.
+LATIN = frozenset(chr(c) for c in range(0xC0, 0x180) if c not in (0xD7, 0xF7, 0x130))
+
+
 class Words:
     """Ids of texts as little-endian 32-bit integers, by words between ASCII white space.
 
     The tokenizer lower-cases and never joins characters across white space, so a
     text's ids are those of its lower-cased words one after another, and most words
-    have been seen before.  Of the others, those of ASCII letters alone are a single
-    run to the tokenizer, and ASCII ones need no Unicode normal form; each kind goes
-    to the tokenizer without the steps that do nothing for it.  Texts that hold a
-    special token's string are encoded as a whole.
+    have been seen before.  A run of letters is encoded by itself, and so is a mark
+    after it, so a word is found with any mark; Latin letters need no normal form
+    and go to the tokenizer without the steps that do nothing for them.  Texts that
+    hold a special token's string are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,10 +63,12 @@ class Words:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.ascii, self.letters = (Tokenizer.from_file(path) for _ in range(3))
-        self.ascii.normalizer = self.letters.normalizer = normalizers.Sequence([])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = {c: self.whole(bytes([c])) for c in MARKS}
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -69,20 +77,43 @@ class Words:
         need = set().union(*split)
         if len(self.new) + len(need) > WORDS:
             self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        missing: tuple[list, list, list] = ([], [], [])
-        for w in need:
-            if w not in new:
-                if (v := old.get(w)) is not None:
-                    new[w] = v
-                else:
-                    missing[0 if not w.isascii() else 2 if w.isalpha() else 1].append(w)
-        for words, tokenizer in zip(missing, (self.tokenizer, self.ascii, self.letters), strict=True):
-            for w, e in zip(words, tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-                new[w] = array("I", e.ids).tobytes()
-        get = new.__getitem__
+        self.learn(need.difference(self.new))
+        get = self.new.__getitem__
         return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
+    def learn(self, words: set[bytes]) -> None:
+        new, old, marks = self.new, self.old, self.marks
+        runs: dict[str, bytes] = {}  # runs of letters to encode
+        later: list[tuple[bytes, str, bytes]] = []  # words that are such a run, and the ids of the mark after it
+        other: list[bytes] = []
+        for w in words:
+            if (known := old.get(w)) is not None:
+                new[w] = known
+                continue
+            after = marks.get(w[-1])
+            run = w if after is None else w[:-1]
+            letters = run.decode()
+            if not run.isascii():
+                if not LATIN.issuperset(c for c in letters if c > "\x7f"):
+                    other.append(w)
+                    continue
+                letters = letters.lower()
+            if not letters.isalpha():
+                other.append(w)
+                continue
+            known = new.get(run) if after is not None else None
+            if known is not None:
+                new[w] = known + after
+                continue
+            runs[letters] = b""
+            later.append((w, letters, after or b""))
+        for r, e in zip(runs, self.letters.encode_batch_fast(list(runs), add_special_tokens=False), strict=True):
+            runs[r] = array("I", e.ids).tobytes()
+        for w, letters, after in later:
+            new[w] = runs[letters] + after
+        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
+            new[w] = array("I", e.ids).tobytes()
+
     def whole(self, text: bytes) -> bytes:
         return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
@@ -154,9 +185,8 @@ def pack(docs: DataFrame, path: str | None = None, end: int = END, capacity: int
 
         def rows(cols):
             out = {k: [] for k in names}
-            for at in range(0, len(cols["text"]), 200):
-                part = [t or b"" for t in cols["text"][at : at + 200]]
-                for i, ids in zip(cols["doc_id"][at : at + 200], words.ids(part), strict=True):
+            if cols["text"]:
+                for i, ids in zip(cols["doc_id"], words.ids([t or b"" for t in cols["text"]]), strict=True):
                     ids += closing
                     n, start = len(ids) // 4, 0
                     while start < n:
