@@ -30,7 +30,7 @@ from .common import documents, map_rows, settle, tokenizer_path
 #: The end of a text, as no word is empty.
 STOP = b""
 HEAD = 100_000
-ROUNDS = 2
+ROUNDS = 4
 #: Training words' worth of the vocabulary's own weights.
 PRIOR = 1000.0
 #: Longer words go through a recursion of their own, one at a time.
@@ -38,6 +38,8 @@ LONG = 48
 #: Words whose counts or lattices are held at once.
 HELD = 400_000
 CHUNK = 4096
+#: Words whose lattices are summed together.
+TOGETHER = 60_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -195,12 +197,22 @@ def fit(counts: DataFrame, vocabulary: Pieces, path: str | None, ends: int, roun
         def make(logs=logs):
             own = _pieces(path)
             expected = np.zeros(len(own.pieces))
+            held: tuple[list, list] = ([], [])  # many words at once, so that there are many of each length
+
+            def add():
+                log_probabilities(own, logs.value, held[0], np.array(held[1], float), expected)
+                held[0].clear()
+                held[1].clear()
 
             def rows(cols):
-                log_probabilities(own, logs.value, cols["word"], np.array(cols["n"], float), expected)
+                held[0].extend(cols["word"])
+                held[1].extend(cols["n"])
+                if len(held[0]) >= TOGETHER:
+                    add()
                 return {"piece": [], "n": []}
 
             def close():
+                add()
                 i = np.flatnonzero(expected)
                 return {"piece": i.astype(np.int32), "n": expected[i]}
 
@@ -259,35 +271,33 @@ def score(docs: DataFrame, held_out: str = "held_out", path: str | None = None,
         known = {w: (math.log10((c + 0.1) / (n + unit)), x / math.log(10)) for w, (c, x) in known.items()}
         own = _pieces(path)
         state = {"row": TaskContext.get().partitionId() << 33}
+        at_end = math.log10((ends + 0.1) / (n + unit))
 
         def rows(cols):
-            out = {k: [] for k in ("row", "doc_id", "held_out", "tokens", "known", "base", "score", "word", "times")}
-            for at in range(0, len(cols["text"]), 250):
-                part(out, *(cols[k][at : at + 250] for k in ("doc_id", held_out, "text")))
-            return out
-
-        def part(out, ids, held, texts):
-            held_words = [Counter((t or b"").lower().split()) for t in texts]
+            held_words = [Counter((t or b"").lower().split()) for t in cols["text"]]
             rare = list(set().union(*held_words).difference(known))
             lattice = dict(zip(rare, (log_probabilities(own, logs, rare) / math.log(10)).tolist(), strict=True))
-            for i, h, words in zip(ids, held, held_words, strict=True):
-                base, total, tokens, seen, later = 0.0, stop / math.log(10), 1, 0, []
+            texts: dict[str, list] = {k: [] for k in ("row", "tokens", "known", "base", "score")}
+            later: tuple[list, list, list] = ([], [], [])
+            for words in held_words:
+                state["row"] += 1
+                base, total, seen = at_end, stop / math.log(10), int(ends > 0)
                 for w, c in words.items():
-                    tokens += c
-                    if w in known:
-                        b, x = known[w]
-                        base += c * b
+                    if (scores := known.get(w)) is not None:
+                        base += c * scores[0]
+                        total += c * scores[1]
                         seen += c
-                        total += c * x
                     else:
                         total += c * lattice[w]
-                        later.append((w, c))
-                state["row"] += 1
-                base += math.log10((ends + 0.1) / (n + unit))
-                for w, c in [(None, None), *later]:
-                    first = w is None
-                    for k, x in zip(out, (state["row"], i if first else None, h if first else None, tokens if first else None, seen + (ends > 0) if first else None, base if first else None, total if first else None, w, c), strict=True):
-                        out[k].append(x)
+                        later[0].append(state["row"])
+                        later[1].append(w)
+                        later[2].append(c)
+                for k, x in zip(texts, (state["row"], words.total() + 1, seen, base, total), strict=True):
+                    texts[k].append(x)
+            # a row for each text, then one for each of its words that joins later
+            none, more = [None] * len(held_words), [None] * len(later[0])
+            out = {k: v + more for k, v in texts.items()} | {"doc_id": cols["doc_id"] + more, "held_out": cols[held_out] + more, "word": none + later[1], "times": none + later[2]}
+            return out | {"row": texts["row"] + later[0]}
 
         return rows
 
