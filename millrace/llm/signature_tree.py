@@ -277,7 +277,8 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = blocks.join(chunks, "root").select("root", "node", own.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select("root", "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    texts = docs.select("doc_id", "text").join(dealt, F.col("doc_id") == F.col("node")).select("root", "low", "high", "chunk", "doc_id", F.col("text").cast("binary").alias("text"))
+    # the same join at every size: the candidates grow with the input, so they are never broadcast
+    texts = docs.select("doc_id", "text").join(dealt.hint("merge"), F.col("doc_id") == F.col("node")).select("root", "low", "high", "chunk", "doc_id", F.col("text").cast("binary").alias("text"))
 
     def verify(table: pa.Table) -> pa.Table:
         found: dict[int, tuple] = {}
@@ -302,7 +303,7 @@ def one_of_each(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     """
     found = settle(similar(docs, words, part, whole), "found")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    left = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return left
