@@ -6,18 +6,18 @@ smallest doc_id that links reach.  The result is exact:
 
 1.  Equal sets are found by their digests, and each task gives candidates for
     the first document of a set only.
-2.  Sets of similar sizes differ in at most d shingles if they link.  The hash
-    range is cut into d + 1 parts, so linked sets agree in one part at least:
-    each part's digest is a key, and documents that share a key are candidates.
-    Sets with an empty part also get keys of another cut, so that emptiness
-    alone makes no candidates.  The components of the candidates are the blocks,
-    and all links are within blocks.
-3.  A block is a signature tree: its nodes hold OR- and AND-combined bitmaps of
-    their sets and their range of sizes.  Node pairs are traversed together and
-    pruned when the largest overlap that bitmaps and sizes allow is too small, or
-    when all below is connected already; what is left at the leaves is compared
-    shingle by shingle.  A block of over BLOCK documents is cut into chunks, and
-    each pair of chunks is a tree of its own.
+2.  All shingles have one order, rare before frequent: by a sketch of how many sets
+    hold them, then by hash.  Linked sets share one of the first shingles of both,
+    as many as a linked set may lack and one; these, with the set's class of sizes
+    and with the next one, are its keys, and documents that share a key are candidates.  Passages and lines that many documents share
+    come late in the order, so they make no candidates.  The components of the
+    candidates are the blocks, and all links are within blocks.
+3.  In a block, the sets of each key are a signature tree: its nodes hold OR- and
+    AND-combined bitmaps of their sets and their range of sizes.  Node pairs are
+    traversed together and pruned when the largest overlap that bitmaps and sizes
+    allow is too small, or when all below is connected already; what is left at the
+    leaves is compared shingle by shingle.  A block of over BLOCK documents is cut
+    into chunks, and each pair of chunks is a task of its own.
 
 Nulls and texts without words have an empty set and link with nothing; rows with
 a null doc_id link with nothing either.  Rows with the same doc_id are one
@@ -27,8 +27,7 @@ document.  Empty tables give no rows.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
-from functools import cache
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +41,9 @@ PART, WHOLE = 90, 100
 WORDS = 3
 BLOCK = 1500
 LEAF, FAN = 8, 4
-#: Cuts of the hash range, each for the sets that the one before left a part empty of.
-CUTS = 3
+#: Cells of the sketch of frequencies, and the slices it is summed in.
+CELL_BITS = 22
+SLICES = 64
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
@@ -68,69 +68,69 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-class Sizes:
-    """Classes of sizes such that linked sets are in the same or in neighbouring ones."""
+def keys(own: np.ndarray, steps: np.ndarray, part: int = PART, whole: int = WHOLE) -> np.ndarray:
+    """The first shingles of a set: of any two linked sets, at least one is shared."""
+    n = len(own)
+    if not n:
+        return own
+    first = n - -(-n * part // whole) + 1
+    rank = (steps[cells(own)].astype(np.uint64) << np.uint64(58)) | (own >> np.uint64(6))
+    return own[np.argpartition(rank, first - 1)[:first]]
 
-    def __init__(self, part: int, whole: int) -> None:
-        self.part, self.whole, self.least = part, whole, [1]
-        while self.least[-1] < 1 << 34:
-            self.least.append(max(self.least[-1] + 1, -(-whole * self.least[-1] // part)))
 
-    def of(self, n: int) -> int:
-        return bisect_right(self.least, n) - 1
+def cells(own: np.ndarray) -> np.ndarray:
+    """Where shingles are counted in the sketch."""
+    return (own * K[1] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def parts(self, j: int) -> int:
-        """One more than the shingles in which linked sets of classes up to j may differ."""
-        return 2 * (self.least[j + 1] - 1) * (self.whole - self.part) // (self.whole + self.part) + 1
 
+def set_rows(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n_shingles, set_id, slice, counts): the size of each row's set and its digest, and each task's sketch.
 
-@cache
-def sizes(part: int, whole: int) -> Sizes:
-    return Sizes(part, whole)
+    A sketch counts sets by cell, up to 255 in a task, and comes in compressed
+    slices, which are rows of their own.
+    """
 
+    def make():
+        counts = np.zeros(1 << CELL_BITS, np.uint8)
 
-def keys(own: np.ndarray, part: int = PART, whole: int = WHOLE) -> list[np.ndarray]:
-    """Keys of a set: of any two linked sets that aren't equal, at least one is shared."""
-    by, out = sizes(part, whole), []
-    if not len(own):
-        return out
-    c = by.of(len(own))
-    for j in (c, c + 1):
-        m = by.parts(j)
-        if m == 1:  # linked sets are equal
-            continue
-        h = own
-        for cut in range(CUTS):
-            if cut:
-                h = np.sort(scrambled(own + K[cut]))
-            where = (h >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(where)) + 1])
-            count = np.diff(np.append(starts, len(h))).astype(np.uint64)
-            digest = np.add.reduceat(scrambled(h ^ K[1]), starts)
-            tag = np.uint64((j * CUTS + cut + 1) * int(K[1]) % (1 << 64))
-            out.append(scrambled(scrambled(scrambled(digest) * K[0] + where[starts] * K[2] + count) + tag))
-            if len(starts) == m:
-                break
-        else:
-            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), where[starts])
-            out.append(scrambled(scrambled(empty * K[2]) + tag))
-    return out
+        def rows(cols):
+            found = [shingles(t, words) for t in cols["text"]]
+            for x in found:
+                at = cells(x)
+                counts[at] += counts[at] < 255
+            none = [None] * len(found)
+            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found], "slice": none, "counts": none}
+
+        def close():
+            made = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
+            none = [None] * SLICES
+            return {"doc_id": none, "n_shingles": none, "set_id": none, "slice": list(range(SLICES)), "counts": made}
+
+        rows.close = close
+        return rows
 
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary, slice int, counts binary", binary=("text",))
 
-def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id): the size of each row's set and its digest."""
 
-    def make():
-        def rows(cols):
-            found = [shingles(t, words) for t in cols["text"]]
-            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found]}
+def frequency_steps(sets: DataFrame) -> np.ndarray:
+    """For each cell of the sketch, twice the logarithm of its count: a byte each, whatever the input."""
 
-        return rows
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros((1 << CELL_BITS) // SLICES, np.int64)
+        for c in table["counts"]:
+            total += np.frombuffer(zlib.decompress(c.as_py()), np.uint8)
+        steps = np.minimum(2 * np.log2(np.maximum(total, 1)), 63).astype(np.uint8)
+        return pa.table({"slice": table["slice"][:1], "steps": pa.array([steps.tobytes()], pa.binary())})
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary", binary=("text",))
+    made = sets.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, steps binary").collect()
+    out = np.zeros(1 << CELL_BITS, np.uint8)
+    size = len(out) // SLICES
+    for r in made:
+        out[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["steps"], np.uint8)
+    return out
 
 
-def key_rows(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+def key_rows(docs: DataFrame, steps, words: int, part: int, whole: int) -> DataFrame:
     """(key, node): the keys of each set, once in a task, with the first doc_id that has it."""
 
     def make():
@@ -147,9 +147,8 @@ def key_rows(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
                 if len(seen) > 1_000_000:  # forgetting only gives some keys again
                     seen.clear()
                 seen.add(digest)
-                for x in keys(own, part, whole):
-                    key.append(x)
-                    node.append(np.full(len(x), i, np.int64))
+                key.append(keys(own, steps.value, part, whole))
+                node.append(np.full(len(key[-1]), i, np.int64))
             return {"key": np.concatenate(key).view(np.int64), "node": np.concatenate(node)}
 
         return rows
@@ -163,7 +162,8 @@ class Tree:
     def __init__(self, sets: list[np.ndarray], part: int = PART, whole: int = WHOLE) -> None:
         self.sets, self.part, self.whole = sets, part, whole
         self.parent = list(range(len(sets)))
-        self.bits = max(9, min(16, int(4 * max(map(len, sets), default=1)).bit_length()))
+        usual = sorted(map(len, sets))[len(sets) // 2] if sets else 1
+        self.bits = max(9, min(12, (4 * usual).bit_length()))
         self.maps = [self.bitmap(s) for s in sets]
         self.compared = 0
 
@@ -239,25 +239,36 @@ class Tree:
                 todo += [(x, v) for x in u["below"]]
 
 
-def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE) -> list[tuple[int, int]]:
-    """(doc_id, smallest doc_id it is connected to) of sets, all pairs compared or, with two chunks, those between them."""
+def linked(ids: list[int], sets: list[np.ndarray], steps: np.ndarray, chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE) -> list[tuple[int, int]]:
+    """(doc_id, smallest doc_id it is connected to) of sets: all links among them or, with two chunks, those between them.
+
+    Linked sets share a key, so each key's sets are a tree; what an earlier key has
+    connected is pruned.
+    """
     order = sorted(range(len(ids)), key=lambda i: ids[i])
     ids, sets = [ids[i] for i in order], [sets[i] for i in order]
+    side = [chunks[i] for i in order] if chunks else [0] * len(ids)
+    low = min(side, default=0)
+    one = len(set(side)) < 2
     tree = Tree(sets, part, whole)
     first: dict[bytes, int] = {}
-    own = []
+    by: dict[int, list[int]] = {}
     for i, s in enumerate(sets):
+        # equal sets of both chunks stand for themselves, as each is compared with the other chunk
         at = first.setdefault(s.tobytes(), i)
         tree.parent[i] = at
-        if at == i:
-            own.append(i)
-    if chunks is None or len(set(chunks)) == 1:
-        root = tree.build(own)
-        tree.traverse(root, root)
-    else:
-        side = [chunks[i] for i in order]
-        low = min(side)
-        tree.traverse(tree.build([i for i in own if side[i] == low]), tree.build([i for i in own if side[i] != low]))
+        if at == i or side[at] != side[i]:
+            for k in keys(s, steps, part, whole).tolist():
+                by.setdefault(k, []).append(i)
+    for own in sorted((x for x in by.values() if len(x) > 1), key=len, reverse=True):
+        root = tree.find(own[0])
+        if all(tree.find(i) == root for i in own):
+            continue
+        if one:
+            whole_tree = tree.build(own)
+            tree.traverse(whole_tree, whole_tree)
+        else:
+            tree.traverse(tree.build([i for i in own if side[i] == low]), tree.build([i for i in own if side[i] != low]))
     return [(ids[i], ids[r]) for i in range(len(ids)) if (r := tree.find(i)) != i]
 
 
@@ -265,12 +276,14 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     """(doc_id, n_shingles, component_id) of each row of (doc_id, text).
 
     The texts shuffle once, and only those of candidates shuffle again; the widest
-    shuffle is the keys', about a quarter of the shingles.  Every step that a later
-    one reads twice is a written table.
+    shuffle beside them is the keys', a fifth or two of the shingles.  Every step
+    that a later one reads twice is a written table.
     """
-    sets = settle(set_rows(docs, words), "sets")
+    read = settle(set_rows(docs, words), "sets")
+    sets = read.where("slice IS NULL").select("doc_id", "n_shingles", "set_id")
+    steps = docs.sparkSession.sparkContext.broadcast(frequency_steps(read))
     w = Window.partitionBy("key")
-    shared = key_rows(docs, words, part, whole).withColumn("head", F.min("node").over(w)).where("node <> head")
+    shared = key_rows(docs, steps, words, part, whole).withColumn("head", F.min("node").over(w)).where("node <> head")
     blocks = settle(components(shared.select(F.col("node").alias("a"), F.col("head").alias("b"))), "blocks")
     # blocks of over ``block`` documents are cut into chunks, and documents meet in each pair of chunks
     chunks = blocks.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("chunks"))
@@ -284,7 +297,7 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
         found: dict[int, tuple] = {}
         for i, c, t in zip(*(table[k].to_pylist() for k in ("doc_id", "chunk", "text")), strict=True):
             found.setdefault(i, (shingles(t, words), c))
-        links = linked(list(found), [x[0] for x in found.values()], [x[1] for x in found.values()], part, whole)
+        links = linked(list(found), [x[0] for x in found.values()], steps.value, [x[1] for x in found.values()], part, whole)
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
     near = texts.groupBy("root", "low", "high").applyInArrow(verify, "a long, b long")

@@ -1,18 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from made import words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def words(n: int, seed: int = 0, size: int = 900) -> str:
-    """``n`` made-up words."""
-    import random
-
-    pick = random.Random(seed)
-    return " ".join(f"{pick.choice('bcdfglmnprst')}{pick.choice('aeiou')}{pick.choice('bcdfglmnprst')}{pick.randrange(size)}" for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def docs(spark):
     """Copies, near copies, nulls in every column, empty and very long texts, ties and repeated rows, and more columns with clashing names."""
