@@ -42,7 +42,7 @@ WORDS = 3
 BLOCK = 1500
 LEAF, FAN = 8, 4
 #: Cells of the sketch of frequencies, and the slices it is summed in.
-CELL_BITS = 22
+CELL_BITS = 23
 SLICES = 64
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -68,14 +68,24 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def size_class(n: int, part: int, whole: int) -> int:
+    """A class of sizes such that linked sets are in the same or in neighbouring ones."""
+    least, c = 1, 0
+    while (least := max(least + 1, -(-whole * least // part))) <= n:
+        c += 1
+    return c
+
+
 def keys(own: np.ndarray, steps: np.ndarray, part: int = PART, whole: int = WHOLE) -> np.ndarray:
-    """The first shingles of a set: of any two linked sets, at least one is shared."""
+    """The first shingles of a set, each with the set's class of sizes and with the next: of any two linked sets, at least one key is shared."""
     n = len(own)
     if not n:
         return own
     first = n - -(-n * part // whole) + 1
     rank = (steps[cells(own)].astype(np.uint64) << np.uint64(58)) | (own >> np.uint64(6))
-    return own[np.argpartition(rank, first - 1)[:first]]
+    kept = own[np.argpartition(rank, first - 1)[:first]]
+    c = size_class(n, part, whole)
+    return np.concatenate([scrambled(kept ^ np.uint64(int(K[2]) * (c + k) % (1 << 64))) for k in (1, 2)])
 
 
 def cells(own: np.ndarray) -> np.ndarray:
