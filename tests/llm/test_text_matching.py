@@ -121,6 +121,71 @@ def test_planted_passages(spark):
     assert {r["doc_id"] for r in got} == {i for i in range(120) if i % 3}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_centres_are_those_of_the_windows(seed):
+    values = compact_windows.mixed(np.random.default_rng(seed).integers(0, 200, 300).astype(np.uint64))
+    assert compact_windows.centres(values, 20).tolist() == sorted(c for _, c, _ in compact_windows.compact_windows(values, 20))
+
+
+@pytest.mark.parametrize(("n", "changed"), [(80, [40]), (60, [30]), (100, [33, 66]), (50, [24]), (51, [1])])
+def test_edited_passages(spark, n, changed):
+    """Passages with changed words are found whole if their Jaccard, by brute force, is at least 0.8."""
+    first = words(n, 3000 + n).split()
+    second = [f"new{k}" if k in changed else w for k, w in enumerate(first)]
+    a, b = ({tuple(x[k : k + 5]) for k in range(n - 4)} for x in (first, second))
+    assert alike(a, b) >= 0.8
+    texts = [(i, " ".join([words(70, 4000 + i), *x, words(70, 5000 + i)])) for i, x in enumerate(([" ".join(first)], [" ".join(second)], []))]
+    got = {(r["doc_id"], r["start_word"], r["end_word"], r["other_doc_id"]) for r in compact_windows.repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    start = 70 + (2 if changed == [1] else 0)
+    assert got == {(0, start, 70 + n, 1), (1, start, 70 + n, 0)}
+
+
+def test_dissimilar_passages_are_no_repeats(spark):
+    """A 50-word passage with two changed words far apart shares runs, but not 0.8 of its shingles."""
+    first = words(50, 1).split()
+    second = [f"new{k}" if k in (16, 33) else w for k, w in enumerate(first)]
+    texts = [(i, " ".join([words(60, 10 + i), *x, words(60, 20 + i)])) for i, x in enumerate((first, second))]
+    assert compact_windows.repeats(spark.createDataFrame(texts, "doc_id long, text string")).count() == 0
+
+
+def likest(a, b):
+    """Least and highest word of each passage of ``a`` with a mate in ``b``, from all pairs of spans of 50 words and their sets of shingles."""
+    one, two = ([tuple(x[k : k + 5]) for k in range(len(x) - 4)] for x in (a, b))
+    common = set(one) & set(two)
+    out = set()
+    for i in range(len(one) - 45):
+        own = set(one[i : i + 46])
+        if 10 * len(own & common) >= 8 * len(own):
+            for j in range(len(two) - 45):
+                if alike(own, set(two[j : j + 46])) >= 0.8:
+                    out |= {i + k for k, g in enumerate(one[i : i + 46]) if g in common}
+                    break
+    return out
+
+
+def test_every_near_passage_of_a_table(spark, table):
+    """Each shared shingle of each 50-word passage with a near-duplicate, by brute force, is in a row's span, and each row's span is near one of its partner's."""
+    at, rows = table
+    own = {i: (t or "").encode().lower().split() for i, t, *_ in rows if len((t or "").split()) < 700}
+    got = compact_windows.repeats(spark.read.parquet(f"{at}/documents.parquet").where(F.col("doc_id").isin(*own))).collect()
+    by = defaultdict(set)
+    for i, w in own.items():
+        for k in range(len(w) - 4):
+            by[tuple(w[k : k + 5])].add(i)
+    both = defaultdict(int)
+    for ids in by.values():
+        for i in ids:
+            for j in ids - {i}:
+                both[i, j] += 1
+    covered = defaultdict(set)
+    for r in got:
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"] - 4))
+        assert both[r["doc_id"], r["other_doc_id"]] >= 37
+    for (i, j), n in both.items():
+        if n >= 37:
+            assert likest(own[i], own[j]) <= covered[i], (i, j)
+
+
 def test_repeat_edges(docs, empty):
     got = compact_windows.repeats(docs).collect()
     assert {1, 2, 3, -5, 9, 10} == {r["doc_id"] for r in got}
