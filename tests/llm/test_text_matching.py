@@ -186,6 +186,14 @@ def test_every_near_passage_of_a_table(spark, table):
             assert likest(own[i], own[j]) <= covered[i], (i, j)
 
 
+def test_each_partner_has_its_row(spark):
+    """Overlapping passages shared with different documents stay apart."""
+    own = words(200, 61).split()
+    texts = [(1, [*own[:100], *words(60, 62).split()]), (5, own), (9, [*words(60, 63).split(), *own[60:]])]
+    got = {tuple(r) for r in compact_windows.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")).collect() if r["doc_id"] == 5}
+    assert got == {(5, 0, 100, 1), (5, 60, 200, 9)}
+
+
 def test_repeat_edges(docs, empty):
     got = compact_windows.repeats(docs).collect()
     assert {1, 2, 3, -5, 9, 10} == {r["doc_id"] for r in got}
