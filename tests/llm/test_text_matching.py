@@ -194,6 +194,17 @@ def test_each_partner_has_its_row(spark):
     assert got == {(5, 0, 100, 1), (5, 60, 200, 9)}
 
 
+def test_repeated_runs_are_covered_whole(spark, table):
+    """Every word of a run of 51 words that repeats verbatim is in a row's span."""
+    rows = [(i, t) for i, t, *_ in table[1]]
+    rows += [(100_000 + i, " ".join([words(70, 70 + i), words(51, 69), words(70, 80 + i)])) for i in range(2)]
+    covered = defaultdict(set)
+    for r in compact_windows.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    for i, starts in plain_repeats(rows, 51).items():
+        assert all(set(range(k, k + 51)) <= covered[i] for k in starts), i
+
+
 def test_repeat_edges(docs, empty):
     got = compact_windows.repeats(docs).collect()
     assert {1, 2, 3, -5, 9, 10} == {r["doc_id"] for r in got}
