@@ -3,7 +3,9 @@
 A subword vocabulary learned from prose spends few tokens on what people write
 and many on random characters, so the characters a token covers tell the two
 apart.  A run of key characters is random if it has at most ``ratio`` characters
-a token, unless it is a digest of a known length, an identifier or a number.
+a token, unless it is a digest of a known length, an identifier or a number; so
+are its parts between marks and windows of it.  Letters of one case are words only
+if they have over ``WORDS_RATIO`` characters a token.
 
 Nulls and empty texts have no spans.  Repeated rows are scanned each by itself.
 Runs are encoded in pieces of ``RUN`` characters, so the time stays in
@@ -35,6 +37,12 @@ IDENTIFIER = re.compile(r"[+/_=-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[+/_=-]+(
 CAMEL = re.compile(r"[A-Za-z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*[0-9]{0,4}\Z")
 RUN = 256
 RATIO = 2.2
+#: Runs of letters of one case are words if they have more characters a token, in lower case.
+WORDS_RATIO = 2.0
+#: What parts a run, and the width and step of the windows that are tested in longer parts.
+MARKS = re.compile(r"[+/_=-]+")
+WINDOW = 20
+STEP = 5
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -52,13 +60,47 @@ def is_known(run: str) -> bool:
     return bool(run.isdigit() or run.isalpha() and (run.islower() or run.isupper() or run.istitle()) or DIGEST.match(run) or IDENTIFIER.match(run) or CAMEL.match(run))
 
 
+def is_random(run: str, tokens, ratio: float) -> bool:
+    """The token-efficiency test; letters of one case are known only if they read as words."""
+    counted = lambda s: sum(tokens(s[i : i + RUN]) for i in range(0, len(s), RUN))
+    if run.isalpha() and (run.islower() or run.isupper()):
+        return len(run) <= min(ratio, WORDS_RATIO) * counted(run.lower())
+    return not is_known(run) and len(run) <= ratio * counted(run)
+
+
 def random_spans(text: str, tokens, ratio: float = RATIO) -> list[tuple[int, int, int]]:
-    """Spans of the token-efficiency test; ``tokens`` counts a string's tokens."""
+    """Spans of the token-efficiency test; ``tokens`` counts a string's tokens.
+
+    A run that isn't random as a whole is tested by its parts between marks, and
+    windows of the run, so that words next to a key don't hide it.
+    """
     out = []
     for m in CANDIDATE.finditer(text):
-        run = m.group()
-        if not is_known(run) and len(run) <= ratio * sum(tokens(run[i : i + RUN]) for i in range(0, len(run), RUN)):
-            out.append((m.start(), m.end(), 3))
+        run, at = m.group(), m.start()
+        if is_random(run, tokens, ratio):
+            out.append((at, m.end(), 3))
+            continue
+        if DIGEST.match(run) or run.isdigit():
+            continue
+        found, begin = [], 0
+        for mark in [*MARKS.finditer(run), None]:
+            end = mark.start() if mark else len(run)
+            if end - begin >= WINDOW and is_random(run[begin:end], tokens, ratio):
+                found.append((begin, end))
+            begin = mark.end() if mark else end
+        if not IDENTIFIER.match(run) and not CAMEL.match(run):
+            last = len(run) - WINDOW
+            for k in sorted({*range(0, last + 1, STEP), last}):
+                if not any(a < k + WINDOW and k < b for a, b in found) and is_random(run[k : k + WINDOW], tokens, ratio):
+                    found.append((k, k + WINDOW))
+        # a window's key goes on to the marks round it
+        for a, b in sorted(found):
+            a = max((x.end() for x in MARKS.finditer(run, 0, a + 1) if x.end() <= a), default=0)
+            b = next((x.start() for x in MARKS.finditer(run, b)), len(run))
+            if out and out[-1][2] == 3 and at + a <= out[-1][1] and out[-1][0] >= at:
+                out[-1] = (out[-1][0], max(out[-1][1], at + b), 3)
+            else:
+                out.append((at + a, at + b, 3))
     return out
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -42,6 +44,19 @@ def test_random_strings_and_what_is_known():
     assert spans("Q9xT1bR7" * 4000) == [(0, 32_000, 3)]
 
 
+def test_keys_next_to_words_and_of_one_case():
+    enc = secret_scan.encoder(tokenizer_path("byte_bpe_50k.tiktoken"))
+    spans = lambda s: secret_scan.random_spans(s, lambda x: len(enc.encode_ordinary(x)))
+    pick = random.Random(1)
+    for before in ("client_credentials_for_production=", "authorization_header_for_production/"):
+        for _ in range(100):
+            key = "".join(pick.choice(string.ascii_letters + string.digits) for _ in range(20))
+            assert any(a <= len(before) and b == len(before) + 20 for a, b, _ in spans(before + key)), key
+    for key in ("qzxjvkwpbgfhtmdyrnclsw", "QZXJVKWPBGFHTMDYRNCLSW"):
+        assert spans(f"a {key} b") == [(2, 24, 3)]
+    assert not spans("client_credentials_for_production/authorization_header") and not spans("internationalizationframework")
+
+
 def test_scan_query(spark, table):
     at, rows = table
     got = {r["doc_id"]: r for r in secret_scan.op1_secret_scan(spark, at).collect()}
