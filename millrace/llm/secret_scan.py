@@ -91,7 +91,9 @@ def random_spans(text: str, tokens, ratio: float = RATIO) -> list[tuple[int, int
         if not IDENTIFIER.match(run) and not CAMEL.match(run):
             last = len(run) - WINDOW
             for k in sorted({*range(0, last + 1, STEP), last}):
-                if not any(a < k + WINDOW and k < b for a, b in found) and is_random(run[k : k + WINDOW], tokens, ratio):
+                # dates, versions and other short parts between marks are no key
+                mixed = any(len(x) >= WINDOW // 2 and not is_known(x) for x in MARKS.split(run[k : k + WINDOW]))
+                if mixed and not any(a < k + WINDOW and k < b for a, b in found) and is_random(run[k : k + WINDOW], tokens, ratio):
                     found.append((k, k + WINDOW))
         # a window's key goes on to the marks round it
         for a, b in sorted(found):

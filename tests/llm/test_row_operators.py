@@ -54,6 +54,7 @@ def test_keys_next_to_words_and_of_one_case():
             assert any(a <= len(before) and b == len(before) + 20 for a, b, _ in spans(before + key)), key
     for key in ("qzxjvkwpbgfhtmdyrnclsw", "QZXJVKWPBGFHTMDYRNCLSW"):
         assert spans(f"a {key} b") == [(2, 24, 3)]
+    assert not spans("internationalization/2024-11-26/report_v2_final") and not spans("github/workflows/build-x86_64-linux-gnu-2024a")
     assert not spans("client_credentials_for_production/authorization_header") and not spans("internationalizationframework")
 
 
