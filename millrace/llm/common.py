@@ -61,12 +61,15 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
 # --- written tables -------------------------------------------------------------------
 
 _own: dict[str, str] = {}
+_places: dict[int, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder that all executors share: spark.checkpoint.dir; a temporary one only in local mode where that is unset."""
     if at := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"):
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="millrace-")
         import shutil
@@ -84,8 +87,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}/{name}"
     df.write.parquet(at)
-    atexit.register(_forget, spark, at.rpartition("/")[0])
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    _places[id(out)] = at.rpartition("/")[0]
+    atexit.register(_forget, spark, _places[id(out)])
+    return out
+
+
+def unsettle(df: DataFrame) -> None:
+    """Deletes the written table of a frame that ``settle`` returned and nothing reads any more."""
+    if at := _places.pop(id(df), None):
+        _forget(df.sparkSession, at)
 
 
 def _forget(spark: SparkSession, at: str) -> None:
@@ -96,6 +107,14 @@ def _forget(spark: SparkSession, at: str) -> None:
         pass
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # --- numbering ------------------------------------------------------------------------
 
 
@@ -119,34 +138,35 @@ def numbered(df: DataFrame, group: str, order: list[str], buckets: int, name: st
 # --- components -----------------------------------------------------------------------
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each node of (a, b) links.
 
     Alternates large-star and small-star: each round links every node to smaller
-    ones, and the links shrink to stars round the smallest nodes.  Every round is
-    a written table; nothing but a row count comes to the driver.  Aggregations
-    are partial before they shuffle, and the joins are on plain keys, so adaptive
-    execution splits those of a hub.
+    ones, and the links shrink to stars round the smallest nodes, in rounds that
+    grow with the logarithm of the nodes.  Every round is a written table, deleted
+    when the next one stands; nothing but a row count comes to the driver.
+    Aggregations are partial before they shuffle, and the joins are on plain keys,
+    so adaptive execution splits those of a hub.
     """
+
     def lower(x: DataFrame) -> DataFrame:
         """Distinct links (a, b) with a > b."""
         return x.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
 
     now = settle(lower(links), "links")
     before = None
-    for _ in range(rounds):
+    while True:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
         large = lower(both.where("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")))
         small = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
         step = large.join(small, F.col("a") == F.col("k")).select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s")).select("s.a", "s.b")
-        now = settle(lower(step), "links")
+        now, last = settle(lower(step), "links"), now
+        unsettle(last)
         state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
         if before == (state["n"], state["h"]):
             break
         before = (state["n"], state["h"])
-    else:
-        raise RuntimeError("links did not settle into stars")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
@@ -157,5 +177,3 @@ def tokenizer_path(name: str, path: str | None = None) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-

@@ -4,46 +4,53 @@ A document's set holds its distinct shingles of ``words`` words.  Two documents
 link when ``whole * |A & B| >= part * |A | B|``; a document's component is the
 smallest doc_id that links reach.  The result is exact:
 
-1.  Equal sets are found by their digests, and each task gives candidates for
-    the first document of a set only.
-2.  All shingles have one order, rare before frequent: by a sketch of how many sets
-    hold them, then by hash.  Linked sets share one of the first shingles of both,
-    as many as a linked set may lack and one; these, with the set's class of sizes
-    and with the next one, are its keys, and documents that share a key are candidates.  Passages and lines that many documents share
-    come late in the order, so they make no candidates.  The components of the
-    candidates are the blocks, and all links are within blocks.
+1.  Equal sets are found by their digests, and only the smallest doc_id of a set
+    goes on.
+2.  Linked sets of a size differ by so many shingles at most.  The hash space is
+    dealt into a few more parts than that, so at least one part of two linked sets
+    is the same: the digests of a set's parts, with its class of sizes, are its
+    keys, and documents that share a key are candidates.  A part holds several
+    shingles, so unlike documents that share a passage or a line, however long or
+    frequent, have no key in common.  Small sets, whose parts would often be empty,
+    have the combinations of RUN of their first shingles by hash as keys.  The
+    components of the candidates are the blocks, and all links are within blocks.
 3.  In a block, the sets of each key are a signature tree: its nodes hold OR- and
     AND-combined bitmaps of their sets and their range of sizes.  Node pairs are
     traversed together and pruned when the largest overlap that bitmaps and sizes
     allow is too small, or when all below is connected already; what is left at the
-    leaves is compared shingle by shingle.  A block of over BLOCK documents is cut
-    into chunks, and each pair of chunks is a task of its own.
+    leaves is compared shingle by shingle.  A block of over BLOCK documents or
+    CHUNK_SHINGLES shingles is cut into chunks, and each pair of chunks is a task of
+    its own.
 
 Nulls and texts without words have an empty set and link with nothing; rows with
 a null doc_id link with nothing either.  Rows with the same doc_id are one
-document.  Empty tables give no rows.
+document, which has the links of all its texts.  A text of any length is one set, read
+whole.  Empty tables give no rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
+import math
+from functools import cache
+from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, map_rows, settle
+from .common import components, documents, map_rows, settle, spare, unsettle
 
 PART, WHOLE = 90, 100
 WORDS = 3
+#: Documents and shingles of a chunk: what a task holds of each of its two chunks.
 BLOCK = 1500
+CHUNK_SHINGLES = 1_000_000
 LEAF, FAN = 8, 4
-#: Cells of the sketch of frequencies, and the slices it is summed in.
-CELL_BITS = 23
-SLICES = 64
+#: Sets that may lack so many shingles at most have combinations of RUN of their first shingles as keys.
+FEW = 4
+RUN = 4
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
@@ -68,80 +75,91 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+@cache
+def least(c: int, part: int, whole: int) -> int:
+    """The least size of a class; linked sets are in the same class or in neighbouring ones."""
+    return 1 if not c else max(least(c - 1, part, whole) + 1, -(-whole * least(c - 1, part, whole) // part))
+
+
+@cache
 def size_class(n: int, part: int, whole: int) -> int:
-    """A class of sizes such that linked sets are in the same or in neighbouring ones."""
-    least, c = 1, 0
-    while (least := max(least + 1, -(-whole * least // part))) <= n:
+    c = 0
+    while least(c + 1, part, whole) <= n:
         c += 1
     return c
 
 
-def keys(own: np.ndarray, steps: np.ndarray, part: int = PART, whole: int = WHOLE) -> np.ndarray:
-    """The first shingles of a set, each with the set's class of sizes and with the next: of any two linked sets, at least one key is shared."""
+@cache
+def dealing(c: int, part: int, whole: int) -> tuple[np.ndarray, int]:
+    """The edges of the parts that sets of class ``c`` and the next are dealt into, and how many of a set's parts may be empty.
+
+    Two linked sets of these sizes differ by ``most`` shingles, so they agree in all
+    but so many parts; those that they agree in aren't all empty if fewer are.
+    """
+    a = least(c + 1, part, whole) - 1
+    b = min(least(c + 2, part, whole) - 1, whole * a // part)
+    most = (whole - part) * (a + b) // (whole + part)
+    for n in range(most + 1, 2 * most + 3):
+        each = least(c, part, whole) / n
+        none = n * math.exp(-each)
+        if n - most - 1 >= none + 5 * math.sqrt(none * (1 - (1 + each) * math.exp(-each))):
+            break
+    return np.array([(i << 64) // n for i in range(1, n)], np.uint64), n - most - 1
+
+
+@cache
+def choices(n: int, run: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), run)), np.int64)
+
+
+def keys(own: np.ndarray, part: int = PART, whole: int = WHOLE) -> np.ndarray:
+    """The keys of a set: of any two linked sets, at least one is shared."""
     n = len(own)
     if not n:
         return own
-    first = n - -(-n * part // whole) + 1
-    rank = (steps[cells(own)].astype(np.uint64) << np.uint64(58)) | (own >> np.uint64(6))
-    kept = own[np.argpartition(rank, first - 1)[:first]]
-    c = size_class(n, part, whole)
-    return np.concatenate([scrambled(kept ^ np.uint64(int(K[2]) * (c + k) % (1 << 64))) for k in (1, 2)])
-
-
-def cells(own: np.ndarray) -> np.ndarray:
-    """Where shingles are counted in the sketch."""
-    return (own * K[1] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    out = []
+    lacks = lambda n: n - -(-n * part // whole)
+    if lacks(-(-n * part // whole)) <= FEW:  # it, or a smaller set that it links with, is small
+        # the first shingles of two linked sets' intersection are among the first of both
+        for run in range(min(RUN, -(-n * part // whole)), min(RUN, n) + 1):
+            first = own[choices(min(n, lacks(n) + run), run)]
+            out.append(scrambled(first.sum(1) + np.uint64(int(K[2]) * run % (1 << 64))))
+    if lacks(n) > FEW:
+        sums = np.concatenate([own[:1] * np.uint64(0), np.cumsum(own)])
+        c = size_class(n, part, whole)
+        for slot in (c, c - 1):
+            edges, empty = dealing(slot, part, whole)
+            at = np.concatenate([[0], np.searchsorted(own, edges), [n]])
+            made = scrambled(sums[at[1:]] - sums[at[:-1]] + np.arange(len(at) - 1, dtype=np.uint64) * K[0] ^ np.uint64(int(K[1]) * slot % (1 << 64)))
+            full = at[1:] > at[:-1]
+            out.append(made[full] if len(made) - full.sum() <= empty else made)
+    return np.unique(np.concatenate(out))
+
+
+def digest(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
 def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, slice, counts): the size of each row's set and its digest, and each task's sketch.
-
-    A sketch counts sets by cell, up to 255 in a task, and comes in compressed
-    slices, which are rows of their own.
-    """
+    """(doc_id, n_shingles, set_id): the size of each row's set and its digest."""
 
     def make():
-        counts = np.zeros(1 << CELL_BITS, np.uint8)
-
         def rows(cols):
             found = [shingles(t, words) for t in cols["text"]]
-            for x in found:
-                at = cells(x)
-                counts[at] += counts[at] < 255
-            none = [None] * len(found)
-            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found], "slice": none, "counts": none}
-
-        def close():
-            made = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
-            none = [None] * SLICES
-            return {"doc_id": none, "n_shingles": none, "set_id": none, "slice": list(range(SLICES)), "counts": made}
+            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [digest(x) if len(x) else None for x in found]}
 
-        rows.close = close
         return rows
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary, slice int, counts binary", binary=("text",))
-
-
-def frequency_steps(sets: DataFrame) -> np.ndarray:
-    """For each cell of the sketch, twice the logarithm of its count: a byte each, whatever the input."""
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary", binary=("text",))
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros((1 << CELL_BITS) // SLICES, np.int64)
-        for c in table["counts"]:
-            total += np.frombuffer(zlib.decompress(c.as_py()), np.uint8)
-        steps = np.minimum(2 * np.log2(np.maximum(total, 1)), 63).astype(np.uint8)
-        return pa.table({"slice": table["slice"][:1], "steps": pa.array([steps.tobytes()], pa.binary())})
 
-    made = sets.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, steps binary").collect()
-    out = np.zeros(1 << CELL_BITS, np.uint8)
-    size = len(out) // SLICES
-    for r in made:
-        out[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["steps"], np.uint8)
-    return out
+def key_rows(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """(key, node): the keys of each set, once in a task, with the first doc_id that has it.
 
-
-def key_rows(docs: DataFrame, steps, words: int, part: int, whole: int) -> DataFrame:
-    """(key, node): the keys of each set, once in a task, with the first doc_id that has it."""
+    What shares a key within a batch is linked there: the key's first node stands
+    for the others, and each of them has a key with it alone.  So a key that any
+    number of documents hold has a row for each batch at most.
+    """
 
     def make():
         seen: set[bytes] = set()
@@ -150,16 +168,23 @@ def key_rows(docs: DataFrame, steps, words: int, part: int, whole: int) -> DataF
             key, node = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for i, t in zip(cols["doc_id"], cols["text"], strict=True):
                 own = shingles(t, words)
-                digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                if digest in seen:
+                of = digest(own)
+                if of in seen:
                     # the same set has given its keys, with a doc_id that equal sets link to
                     continue
                 if len(seen) > 1_000_000:  # forgetting only gives some keys again
                     seen.clear()
-                seen.add(digest)
-                key.append(keys(own, steps.value, part, whole))
+                seen.add(of)
+                key.append(keys(own, part, whole))
                 node.append(np.full(len(key[-1]), i, np.int64))
-            return {"key": np.concatenate(key).view(np.int64), "node": np.concatenate(node)}
+            key, node = np.concatenate(key), np.concatenate(node)
+            order = np.argsort(key, kind="stable")
+            key, node = key[order], node[order]
+            first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+            heads = node[first][np.cumsum(first) - 1]
+            pairs = np.unique(np.stack([node[~first], heads[~first]]), axis=1)
+            own = scrambled(pairs[0].view(np.uint64) * K[0] + scrambled(pairs[1].view(np.uint64)))
+            return {"key": np.concatenate([key[first], own, own]).view(np.int64), "node": np.concatenate([node[first], *pairs])}
 
         return rows
 
@@ -175,7 +200,7 @@ class Tree:
         usual = sorted(map(len, sets))[len(sets) // 2] if sets else 1
         self.bits = max(9, min(12, (4 * usual).bit_length()))
         self.maps = [self.bitmap(s) for s in sets]
-        self.compared = 0
+        self.unlike: set[tuple[int, int]] = set()
 
     def bitmap(self, s: np.ndarray) -> int:
         b = np.zeros(1 << self.bits, bool)
@@ -220,11 +245,14 @@ class Tree:
 
     def link(self, i: int, j: int) -> None:
         a, b = self.find(i), self.find(j)
-        if a != b and self.possible((self.maps[i], self.maps[i], len(self.sets[i]), len(self.sets[i])), (self.maps[j], self.maps[j], len(self.sets[j]), len(self.sets[j]))):
-            self.compared += 1
+        if a == b or (i, j) in self.unlike:
+            return
+        if self.possible((self.maps[i], self.maps[i], len(self.sets[i]), len(self.sets[i])), (self.maps[j], self.maps[j], len(self.sets[j]), len(self.sets[j]))):
             both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
             if self.whole * both >= self.part * (len(self.sets[i]) + len(self.sets[j]) - both):
                 self.parent[max(a, b)] = min(a, b)
+            else:
+                self.unlike.add((i, j))
 
     def traverse(self, u: dict | None, v: dict | None) -> None:
         todo = [(u, v)] if u and v else []
@@ -249,7 +277,7 @@ class Tree:
                 todo += [(x, v) for x in u["below"]]
 
 
-def linked(ids: list[int], sets: list[np.ndarray], steps: np.ndarray, chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE) -> list[tuple[int, int]]:
+def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE) -> list[tuple[int, int]]:
     """(doc_id, smallest doc_id it is connected to) of sets: all links among them or, with two chunks, those between them.
 
     Linked sets share a key, so each key's sets are a tree; what an earlier key has
@@ -268,7 +296,7 @@ def linked(ids: list[int], sets: list[np.ndarray], steps: np.ndarray, chunks: li
         at = first.setdefault(s.tobytes(), i)
         tree.parent[i] = at
         if at == i or side[at] != side[i]:
-            for k in keys(s, steps, part, whole).tolist():
+            for k in keys(s, part, whole).tolist():
                 by.setdefault(k, []).append(i)
     for own in sorted((x for x in by.values() if len(x) > 1), key=len, reverse=True):
         root = tree.find(own[0])
@@ -282,39 +310,71 @@ def linked(ids: list[int], sets: list[np.ndarray], steps: np.ndarray, chunks: li
     return [(ids[i], ids[r]) for i in range(len(ids)) if (r := tree.find(i)) != i]
 
 
-def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, block: int = BLOCK) -> DataFrame:
+def verified(texts: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """(a, b): the links within each (root, low, high) of rows that lie sorted by it."""
+
+    def make():
+        state: dict = {"at": None, "sets": {}}
+
+        def flush(out):
+            held = state["sets"]
+            if len(held) > 1:
+                links = linked([i for i, _ in held], [x for x, _ in held.values()], [c for _, c in held.values()], part, whole)
+                out["a"] += [a for a, _ in links]
+                out["b"] += [b for _, b in links]
+            state["sets"] = {}
+
+        def rows(cols):
+            out = {"a": [], "b": []}
+            for root, low, high, chunk, i, t in zip(*(cols[k] for k in ("root", "low", "high", "chunk", "doc_id", "text")), strict=True):
+                if state["at"] != (root, low, high):
+                    flush(out)
+                    state["at"] = (root, low, high)
+                own = shingles(t, words)
+                state["sets"].setdefault((i, digest(own)), (own, chunk))
+            return out
+
+        def close():
+            out = {"a": [], "b": []}
+            flush(out)
+            return out
+
+        rows.close = close
+        return rows
+
+    return map_rows(texts, make, "a long, b long", binary=("text",))
+
+
+def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, block: int = BLOCK, shingles_a_chunk: int = CHUNK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of (doc_id, text).
 
-    The texts shuffle once, and only those of candidates shuffle again; the widest
-    shuffle beside them is the keys', a fifth or two of the shingles.  Every step
-    that a later one reads twice is a written table.
+    The texts shuffle once, and only those of candidates shuffle again, a row for
+    each distinct set and chunk pair; the widest shuffle beside them is the keys'.
+    Every step that a later one reads twice is a written table.
     """
-    read = settle(set_rows(docs, words), "sets")
-    sets = read.where("slice IS NULL").select("doc_id", "n_shingles", "set_id")
-    steps = docs.sparkSession.sparkContext.broadcast(frequency_steps(read))
-    w = Window.partitionBy("key")
-    shared = key_rows(docs, steps, words, part, whole).withColumn("head", F.min("node").over(w)).where("node <> head")
-    blocks = settle(components(shared.select(F.col("node").alias("a"), F.col("head").alias("b"))), "blocks")
-    # blocks of over ``block`` documents are cut into chunks, and documents meet in each pair of chunks
-    chunks = blocks.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("chunks"))
+    sets = settle(set_rows(docs, words), "sets")
+    known = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
+    smallest = known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b")
+    equal = settle(known.join(smallest, F.col("set_id") == F.col("own")).where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")), "equal")
+    # batches have combined their rows, so a key has one for each batch at most
+    shared = key_rows(docs, words, part, whole).withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head")
+    candidates = components(shared.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    sizes = sets.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("i")).agg(F.max("n_shingles").alias("n"))
+    # of equal sets the smallest doc_id stands for all; documents with several texts stand for themselves as well
+    several = known.groupBy(F.col("doc_id").alias("s")).agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("s")
+    one = candidates.join(equal, F.col("node") == F.col("a"), "left").join(several, F.col("node") == F.col("s"), "left")
+    one = one.select("root", F.explode(F.when(F.col("b").isNull(), F.array("node")).when(F.col("s").isNotNull(), F.array("node", "b")).otherwise(F.array("b"))).alias("node")).distinct()
+    blocks = settle(one.join(sizes, F.col("node") == F.col("i")).select("root", "node", "n"), "blocks")
+    # large blocks are cut into chunks, and documents meet in each pair of chunks
+    chunks = blocks.groupBy(F.col("root").alias("r")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / shingles_a_chunk)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("members")).where("members > 1")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    dealt = blocks.join(chunks, "root").select("root", "node", own.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    dealt = blocks.join(chunks, F.col("root") == F.col("r")).select("root", "node", own.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select("root", "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     # the same join at every size: the candidates grow with the input, so they are never broadcast
-    texts = docs.select("doc_id", "text").join(dealt.hint("merge"), F.col("doc_id") == F.col("node")).select("root", "low", "high", "chunk", "doc_id", F.col("text").cast("binary").alias("text"))
-
-    def verify(table: pa.Table) -> pa.Table:
-        found: dict[int, tuple] = {}
-        for i, c, t in zip(*(table[k].to_pylist() for k in ("doc_id", "chunk", "text")), strict=True):
-            found.setdefault(i, (shingles(t, words), c))
-        links = linked(list(found), [x[0] for x in found.values()], steps.value, [x[1] for x in found.values()], part, whole)
-        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
-
-    near = texts.groupBy("root", "low", "high").applyInArrow(verify, "a long, b long")
-    known = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
-    least = known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b")
-    equal = known.join(least, F.col("set_id") == F.col("own")).select(F.col("doc_id").alias("a"), "b")
+    texts = docs.select("doc_id", "text").join(dealt.hint("merge"), F.col("doc_id") == F.col("node")).select("root", "low", "high", "chunk", "doc_id", "text")
+    near = verified(texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high"), words, part, whole)
     found = components(near.union(equal))
+    unsettle(blocks)
     joined = sets.join(found, F.col("doc_id") == F.col("node"), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
@@ -322,15 +382,18 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
 def one_of_each(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """The rows of ``docs``, with all their columns, without those that a smaller doc_id is connected to.
 
-    Of rows with the same doc_id one stays; rows with a null doc_id all stay.
+    Of rows with the same doc_id the one with the first text stays; rows with a null doc_id all stay.
     """
     found = settle(similar(docs, words, part, whole), "found")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = spare(docs, "gone")
+    least = found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    left = docs.join(least.hint("merge"), F.col("doc_id") == F.col(gone), "left_anti")
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return left
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(left.where("doc_id IS NULL"))
+    place = spare(docs, "place")
+    one = left.where("doc_id IS NOT NULL").withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(place) == 1).drop(place)
+    return one.union(left.where("doc_id IS NULL"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,15 +275,14 @@ def test_join_near_the_threshold(spark, part, n, block):
 @pytest.mark.parametrize("part", [50, 80, 90, 95])
 def test_linked_sets_share_a_key(part):
     pick = np.random.default_rng(part)
-    steps = pick.integers(0, 64, 1 << signature_tree.CELL_BITS).astype(np.uint8)
     for size in [*range(1, 60), 200, 700]:
-        a = np.unique(pick.integers(0, 1 << 63, size).astype(np.uint64))
+        a = np.unique(pick.integers(0, 1 << 64, size, np.uint64))
         for gone in range(0, size + 1):
             for new in range(0, size + 1, max(1, size // 7)):
                 if 100 * (size - gone) < part * (size + new) or not gone + new:
                     continue
-                b = np.unique(np.concatenate([pick.permutation(a)[gone:], pick.integers(0, 1 << 63, new).astype(np.uint64)]))
-                assert np.intersect1d(signature_tree.keys(a, steps, part), signature_tree.keys(b, steps, part)).size
+                b = np.unique(np.concatenate([pick.permutation(a)[gone:], pick.integers(0, 1 << 64, new, np.uint64)]))
+                assert np.intersect1d(signature_tree.keys(a, part), signature_tree.keys(b, part)).size
 
 
 def test_join_edges(docs, empty):
