@@ -73,12 +73,15 @@ def test_no_python_in_fingerprints(spark, table):
 @pytest.mark.parametrize("seed", range(4))
 def test_compact_windows_hold_every_subsequence(seed):
     """Each subsequence of at least the least width is in the one window whose centre is its first smallest value."""
-    values = np.random.default_rng(seed).integers(0, 30, 60).astype(np.uint64)
-    made = {c: (a, b) for a, c, b in compact_windows.compact_windows(values, 8)}
+    values = np.random.default_rng(seed).integers(0, 30, 60).astype(np.uint64) << np.uint64(40)
+    made = {c: (a, b) for a, c, b in zip(*(x.tolist() for x in compact_windows.compact_windows(values, 8)), strict=True)}
     for i in range(60):
         for j in range(i + 7, 60):
             c = i + int(values[i : j + 1].argmin())
             assert made[c][0] <= i and j <= made[c][1]
+    for c, (i, j) in made.items():
+        assert j - i >= 7 and c == i + int(values[i : j + 1].argmin())
+        assert (not i or values[i - 1] <= values[c]) and (j == 59 or values[j + 1] < values[c])
 
 
 def plain_repeats(texts, n):
@@ -91,40 +94,50 @@ def plain_repeats(texts, n):
     return {i: {k for k in range(len(w) - n + 1) if len(by[tuple(w[k : k + n])]) > 1} for i, w in own.items()}
 
 
-def check_repeats(got, texts):
-    core, long = plain_repeats(texts, compact_windows.core_words()), plain_repeats(texts, 51)
-    spans = defaultdict(list)
-    for r in got:
-        spans[r["doc_id"]].append((r["start_word"], r["end_word"]))
-        assert r["other_doc_id"] != r["doc_id"] and r["start_word"] in core[r["doc_id"]]
-    for i, starts in long.items():
-        assert all(any(a < k + 51 and k < b for a, b in spans[i]) for k in starts), i
-    assert all(core[i] for i in spans)
-
-
-def test_repeats_of_a_table(spark, table):
-    at, rows = table
-    check_repeats(compact_windows.op9_compact_windows(spark, at).collect(), [(i, t) for i, t, *_ in rows])
-
-
 def test_planted_passages(spark):
+    """Passages of over 50 words in many documents are found in each, to the word, and nothing else is."""
     pick = random.Random(0)
     passages = [words(51 + k, 1000 + k) for k in range(12)]
-    texts = []
+    texts, planted = [], {}
     for i in range(120):
-        parts = [words(pick.randrange(0, 90), i)]
+        first = words(pick.randrange(0, 90), i)
+        parts = [first]
         if i % 3:
             parts += [passages[i % 12], words(pick.randrange(0, 90), 500 + i)]
+            planted[i] = (len(first.split()), len(first.split()) + 51 + i % 12)
         texts.append((i, " ".join(parts)))
-    got = compact_windows.repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()
-    check_repeats(got, texts)
-    assert {r["doc_id"] for r in got} == {i for i in range(120) if i % 3}
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_centres_are_those_of_the_windows(seed):
-    values = compact_windows.mixed(np.random.default_rng(seed).integers(0, 200, 300).astype(np.uint64))
-    assert compact_windows.centres(values, 20).tolist() == sorted(c for _, c, _ in compact_windows.compact_windows(values, 20))
+    got = compact_windows.repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(7)).collect()
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in got} == {(i, *p) for i, p in planted.items()}
+    assert all(r["other_doc_id"] != r["doc_id"] and r["other_doc_id"] % 12 == r["doc_id"] % 12 for r in got)
+
+
+@pytest.mark.parametrize("every", [20, 30])
+def test_near_passages_are_recalled(spark, every):
+    """Passages of 150 words with one word in so many changed: at least 0.9 of those that have 0.8 of their shingles in common, by brute force, are found."""
+    pick = random.Random(every)
+    texts, near = [], set()
+    for g in range(150):
+        own = words(150, 7000 + g).split()
+        other = [w if pick.randrange(every) else f"new{pick.randrange(10**6)}" for w in own]
+        a, b = ({tuple(x[k : k + 5]) for k in range(146)} for x in (own, other))
+        if alike(a, b) >= 0.8:
+            near |= {2 * g, 2 * g + 1}
+        texts += [(2 * g + k, " ".join([words(pick.randrange(200), 20_000 + 2 * g + k), *x, words(pick.randrange(200), 30_000 + 2 * g + k)])) for k, x in enumerate((own, other))]
+    pick.shuffle(texts)
+    got = {r["doc_id"] for r in compact_windows.repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
+    assert len(near) >= 20 and len(near & got) >= 0.9 * len(near)
+
+
+def test_long_texts_of_one_word():
+    """A repeated word gives one interval a hash function, in time in proportion to the text."""
+    import time
+
+    own = compact_windows.tokens(compact_windows.word_hashes([b"spam"] * 1_000_000))
+    began = time.perf_counter()
+    signature, low, high = compact_windows.text_windows(own, 46, compact_windows.HASHES)
+    assert len(signature) == compact_windows.HASHES and set(low) == {0} and set(high) == {len(own) - 1}
+    assert compact_windows.passages(own, own) == [(0, 1_000_000, 0, 1_000_000)]
+    assert time.perf_counter() - began < 10
 
 
 @pytest.mark.parametrize(("n", "changed"), [(80, [40]), (60, [30]), (100, [33, 66]), (50, [24]), (51, [1])])
