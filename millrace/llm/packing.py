@@ -1,15 +1,22 @@
 """Packing by Karmarkar-Karp multiway differencing.
 
-Documents are tokenised and cut into pieces, a group of pieces of about
-GROUP windows is divided into as many near-equal windows as its tokens need, and
-the number of windows rises by one as long as any is over the capacity.
-Differencing starts with each piece as a partial division (itself and empty
-windows), and always merges the two with the largest imbalance, the largest
-window of one with the smallest of the other.
-
-A task packs the rows of its own partition as they come, so nothing shuffles, no
-key can be hot, and a task holds one group of tokens.  Null and empty texts are a
-piece of one id, the end.  Repeated rows are packed each; empty tables give no rows.
+Documents are tokenised, and those of over a window are cut after each whole window;
+what is left, a whole document or a long one's end, is a piece.  All pieces of
+the table are dealt by hash into groups of about GROUP windows, and a group is
+divided into as many near-equal windows as its tokens need; the number of windows
+rises by one as long as any is over the capacity.  Differencing starts with each
+piece as a partial division (itself and empty windows), and always merges the two
+with the largest imbalance, the largest window of one with the smallest of the other.
+A group whose windows would be less than FILL full, as documents of somewhat over
+half a window are, has its longest pieces cut into chunks of CHUNK ids.
+
+Texts are read once and never shuffle; what does is a narrow row for each piece, by
+hash, so no key can be hot, and the result is the same however the table is split.
+
+Null and empty texts are a piece of one id, the end.  A text of any length is cut
+into windows and one piece.  Pieces of equal length go by doc_id, place and checksum,
+and repeated rows are packed each; equal ones may swap places.  Empty tables give
+no rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -20,16 +27,17 @@ import zlib
 from array import array
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import documents, map_rows, tokenizer_path
+from .common import documents, map_rows, settle, tokenizer_path
 
 CAPACITY = 4096
 END = 2
-#: What is left of a document beyond whole windows is cut into pieces of so many ids at most, so that windows can be near-equal.
-PIECE = 512
 #: Windows that are divided together, and how full they should be.
-GROUP = 32
-FILL = 0.996
+GROUP = 256
+FILL = 0.98
+#: Ids of a chunk that a piece may be cut into.
+CHUNK = 512
 #: Words whose ids are kept, in each of two generations.
 WORDS = 500_000
 
@@ -120,16 +128,18 @@ class Words:
 
 def differencing(lengths: list[int], windows: int) -> list[list[int]]:
     """The places of ``lengths`` in each of so many near-equal windows."""
-    # A partial division: its windows, largest first, as (sum, what is in it); what is in it is a place, a pair of such, or None.
-    heap = [(-n, i, [(n, i)] + [(0, None)] * (windows - 1)) for i, n in enumerate(lengths)]
+    # A partial division: its windows that hold something, largest first, as (sum, what is in it); what is in it is a place or a pair of such.
+    heap = [(-n, i, [(n, i)]) for i, n in enumerate(lengths)]
     heapq.heapify(heap)
     count = len(heap)
     while len(heap) > 1:
         a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
-        merged = [(x + y, p if q is None else q if p is None else (p, q)) for (x, p), (y, q) in zip(a, reversed(b), strict=True)]
+        # the largest of one and the smallest of the other, empty windows first: what meets is the ends of both
+        x, y = min(len(a), windows - len(b)), min(len(b), windows - len(a))
+        merged = a[:x] + b[:y] + [(m + n, (p, q)) for (m, p), (n, q) in zip(a[x:], reversed(b[y:]), strict=True)]
         merged.sort(key=lambda w: -w[0])
         count += 1
-        heapq.heappush(heap, (merged[-1][0] - merged[0][0], count, merged))
+        heapq.heappush(heap, ((merged[-1][0] if len(merged) == windows else 0) - merged[0][0], count, merged))
     out = []
     for _, tree in heap[0][2] if heap else []:
         own, todo = [], [tree]
@@ -154,53 +164,93 @@ def windows(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return []
 
 
-def pack(docs: DataFrame, path: str | None = None, end: int = END, capacity: int = CAPACITY, piece: int = PIECE, group: int = GROUP) -> DataFrame:
+def divided(pieces: list[tuple], capacity: int, fill: float, chunk: int) -> list[list[tuple]]:
+    """Windows of (doc_id, start, length, crc, doc_tokens, chunk crcs): with whole pieces if they are ``fill`` full, else with the longest cut."""
+    total, share = sum(p[2] for p in pieces), 16
+    best: list[list[tuple]] = []
+    while True:
+        found = [[pieces[i] for i in own] for own in windows([p[2] for p in pieces], capacity)]
+        if not best or len(found) < len(best):
+            best = found
+        if total >= fill * capacity * len(best) or len(best) * capacity - total < capacity or not share:
+            return best
+        # the longest, a sixteenth of the windows at first, twice as many each time, and then all
+        many = len(best) // share + 1 if share > 1 else len(pieces)
+        order = sorted(range(len(pieces)), key=lambda i: -pieces[i][2])
+        cut = {i for i in order[:many] if pieces[i][2] > chunk}
+        pieces = [q for i, p in enumerate(pieces) for q in (chunks(p, chunk) if i in cut else [p])]
+        share //= 2
+
+
+def chunks(p: tuple, chunk: int) -> list[tuple]:
+    """A piece's chunks as pieces."""
+    doc, start, length, _, whole, crcs = p
+    return [(doc, start + k * chunk, min(chunk, length - k * chunk), c, whole, [c]) for k, c in enumerate(crcs)]
+
+
+def pieces(docs: DataFrame, path: str | None, end: int, capacity: int, chunk: int) -> DataFrame:
+    """(doc_id, start, length, crc, doc_tokens, crcs): whole windows, and what is left of each row; crcs are those of its chunks."""
+    closing = array("I", [end]).tobytes()
+    names = ["doc_id", "start", "length", "crc", "doc_tokens", "crcs"]
+
+    def make():
+        words = Words(tokenizer_path("word_bpe_49k.json", path))
+
+        def rows(cols):
+            out = {k: [] for k in names}
+            if cols["text"]:
+                for i, ids in zip(cols["doc_id"], words.ids([t or b"" for t in cols["text"]]), strict=True):
+                    ids += closing
+                    n = len(ids) // 4
+                    for start in range(0, n, capacity):
+                        own = memoryview(ids)[4 * start : 4 * (start + capacity)]
+                        crcs = [zlib.crc32(own[k : k + 4 * chunk]) for k in range(0, len(own), 4 * chunk)] if len(own) < 4 * capacity else []
+                        for k, v in zip(names, (i, start, len(own) // 4, crcs[0] if len(crcs) == 1 else zlib.crc32(own), n, crcs), strict=True):
+                            out[k].append(v)
+            return out
+
+        return rows
+
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, start long, length long, crc long, doc_tokens long, crcs array<long>", binary=("text",))
+
+
+def pack(docs: DataFrame, path: str | None = None, end: int = END, capacity: int = CAPACITY, group: int = GROUP, fill: float = FILL, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece of (doc_id, text).
 
-    ``path``: a tokenizers file.  A sequence's number holds the number of its
-    partition, which a rerun on the same files gives again.
+    ``path``: a tokenizers file.  A sequence's number holds the number of its group.
     """
-    closing = array("I", [end]).tobytes()
+    cut = settle(pieces(docs, path, end, capacity, chunk), "pieces")
+    total = cut.agg(F.sum("length")).first()[0] or 0
+    groups = max(1, -(-total // (group * capacity)))
     names = [x.split()[0] for x in OUT.split(", ")]
 
     def make():
-        from pyspark import TaskContext
+        state = {"group": None, "next": 0, "pieces": []}
 
-        words = Words(tokenizer_path("word_bpe_49k.json", path))
-        state = {"next": TaskContext.get().partitionId() << 32, "tokens": 0, "pieces": []}
+        def add(out, window):
+            offset = 0
+            for p in window:
+                for k, v in zip(names, (*p[:5], state["next"], offset), strict=True):
+                    out[k].append(v)
+                offset += p[2]
+            state["next"] += 1
 
         def flush(out):
-            pieces = state["pieces"]
-            for own in windows([p[2] for p in pieces], capacity):
-                offset = 0
-                for i in own:
-                    add(out, pieces[i], offset)
-                    offset += pieces[i][2]
-                state["next"] += 1
-            state["tokens"], state["pieces"] = 0, []
-
-        def add(out, p, offset):
-            for k, v in zip(names, (*p, state["next"], offset), strict=True):
-                out[k].append(v)
+            if state["pieces"]:
+                for window in divided(state["pieces"], capacity, fill, chunk):
+                    add(out, window)
+            state["pieces"] = []
 
         def rows(cols):
             out = {k: [] for k in names}
-            if cols["text"]:
-                for i, ids in zip(cols["doc_id"], words.ids([t or b"" for t in cols["text"]]), strict=True):
-                    ids += closing
-                    n, start = len(ids) // 4, 0
-                    while start < n:
-                        size = capacity if n - start >= capacity else min(piece, n - start)
-                        p = (i, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), n)
-                        start += size
-                        if size == capacity:
-                            add(out, p, 0)
-                            state["next"] += 1
-                            continue
-                        if state["tokens"] + size > FILL * group * capacity:
-                            flush(out)
-                        state["pieces"].append(p)
-                        state["tokens"] += size
+            for g, *p in zip(*(cols[k] for k in ("group", "doc_id", "start", "length", "crc", "doc_tokens", "crcs")), strict=True):
+                if g != state["group"]:
+                    flush(out)
+                    state["group"], state["next"] = g, g << 32
+                if p[2] == capacity:
+                    add(out, [p])
+                else:
+                    state["pieces"].append(tuple(p))
             return out
 
         def close():
@@ -211,7 +261,8 @@ def pack(docs: DataFrame, path: str | None = None, end: int = END, capacity: int
         rows.close = close
         return rows
 
-    return map_rows(docs.select("doc_id", "text"), make, OUT, binary=("text",))
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "crc"), F.lit(groups)))
+    return map_rows(dealt.repartition("group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start", "crc"), make, OUT)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

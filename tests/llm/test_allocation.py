@@ -160,6 +160,22 @@ def test_packing_of_a_table(spark, table):
     assert check_packs(packing.op6_packing(spark, at).collect(), [(i, t) for i, t, *_ in rows]) > 0.95
 
 
+@pytest.mark.parametrize("parts", [2, 211])
+def test_windows_are_full_however_the_table_is_split(spark, parts):
+    """The same windows at any number of partitions, nearly full, and no document torn that fits a window."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts)
+    got = packing.pack(docs).collect()
+    assert sum(r["length"] for r in got) >= 0.98 * 4096 * len({r["sequence_id"] for r in got})
+    assert all(r["length"] == r["doc_tokens"] for r in got if r["doc_tokens"] <= 4096)
+    assert hash(tuple(sorted(map(tuple, got)))) == hash(tuple(sorted(map(tuple, packing.pack(docs.repartition(5)).collect()))))
+
+
+def test_documents_of_over_half_a_window_are_cut(spark):
+    rows = [(i, "word " * 2500) for i in range(200)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert check_packs(got, rows) > 0.97
+
+
 def test_packing_edges(docs, empty):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     check_packs(packing.pack(docs).collect(), rows)
