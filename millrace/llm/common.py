@@ -78,15 +78,19 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own["dir"]
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     The written table cuts the lineage: what is read again doesn't depend on an
     executor's disk, so a lost executor costs only the tasks it was running.
+    After a ``heavy`` plan the driver collects its garbage, upon which Spark deletes
+    the plan's shuffle files; else they'd stay until it happens to.
     """
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}/{name}"
     df.write.parquet(at)
+    if heavy:
+        spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(at)
     _places[id(out)] = at.rpartition("/")[0]
     atexit.register(_forget, spark, _places[id(out)])

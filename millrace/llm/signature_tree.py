@@ -364,7 +364,7 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     several = known.groupBy(F.col("doc_id").alias("s")).agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("s")
     one = candidates.join(equal, F.col("node") == F.col("a"), "left").join(several, F.col("node") == F.col("s"), "left")
     one = one.select("root", F.explode(F.when(F.col("b").isNull(), F.array("node")).when(F.col("s").isNotNull(), F.array("node", "b")).otherwise(F.array("b"))).alias("node")).distinct()
-    blocks = settle(one.join(sizes, F.col("node") == F.col("i")).select("root", "node", "n"), "blocks")
+    blocks = settle(one.join(sizes, F.col("node") == F.col("i")).select("root", "node", "n"), "blocks", heavy=True)
     # large blocks are cut into chunks, and documents meet in each pair of chunks
     chunks = blocks.groupBy(F.col("root").alias("r")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / shingles_a_chunk)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("members")).where("members > 1")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
