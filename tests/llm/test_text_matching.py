@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from made import words
 from pyspark.sql import functions as F
 
@@ -23,23 +25,93 @@ def alike(a, b):
     return 1.0 if not a | b else len(a & b) / len(a | b)
 
 
+def spark_hash(key, more):
+    """Spark's xxhash64 of a long and of an int or a text."""
+    first = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+    return xxhash.xxh64_intdigest(more.encode() if isinstance(more, str) else struct.pack("<i", more), first)
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def peel(sketch, size, seed):
+    """The digests of a sketch, {cell: [count, digests, checks]}, by count: {digest: 1 or -1}."""
+    sketch, out = {k: list(v) for k, v in sketch.items()}, {}
+    todo = list(sketch)
+    while todo:
+        c, k, h = sketch.get(at := todo.pop(), (0, 0, 0))
+        if abs(c) != 1 or spark_hash(signed(k), "check") & 0xFFFFFFFF != h:
+            continue
+        out[k] = c
+        for t in range(3):
+            x = sketch.setdefault(cell(signed(k), t, size, seed), [0, 0, 0])
+            x[0], x[1], x[2] = x[0] - c, x[1] ^ k, x[2] ^ h
+            todo.append(cell(signed(k), t, size, seed))
+    assert not any(map(any, sketch.values())), "cells are left"
+    return out
+
+
+def cell(key, table, size, seed):
+    return 3 * (signed(spark_hash(key, 3 * seed + table)) % size) + table
+
+
+def read_print(text):
+    """(cells of a table, seed, {cell: [count, digests, checks]}) of a fingerprint."""
+    shape, *cells = text.split(";")
+    size, seed = map(int, shape.split("."))
+    parts = [c.split(".") for c in cells if c]
+    return size, seed, {int(a): [int(c), int(k, 16), int(h, 16)] for a, c, k, h in parts}
+
+
+def sketched(keys, size, seed):
+    out = defaultdict(lambda: [0, 0, 0])
+    for k in keys:
+        for t in range(3):
+            x = out[cell(signed(k), t, size, seed)]
+            x[0], x[1], x[2] = x[0] + 1, x[1] ^ k, x[2] ^ spark_hash(signed(k), "check") & 0xFFFFFFFF
+    return out
+
+
+def likeness_of(one, two):
+    """The likeness of two fingerprints from these alone: peeled, sketched at one size, subtracted and peeled."""
+    a, b = (peel(s, size, seed) for size, seed, s in map(read_print, (one, two)))
+    size, seed = 2 * (len(a) + len(b)) + 16, 0
+    while True:
+        left, right = sketched(a, size, seed), sketched(b, size, seed)
+        try:
+            rest = peel({k: [left[k][0] - right[k][0], left[k][1] ^ right[k][1], left[k][2] ^ right[k][2]] for k in {*left, *right}}, size, seed)
+            break
+        except AssertionError:
+            size, seed = 2 * size, seed + 1
+    shared = len(a) - sum(c > 0 for c in rest.values())
+    return shared / (len(a) + len(b) - shared) if a or b else 1.0
+
+
 def check_fingerprints(got, rows):
     """``rows``: (doc_id, text) by descending doc_id."""
     prints = defaultdict(set)
     for k, (i, text) in enumerate(rows):
-        after, n = rows[(k + 1) % len(rows)][1], len(text)
+        j, after = rows[(k + 1) % len(rows)]
+        n = len(text)
         edited = text[: n - n // 2] + after[: n // 2]
         r = got[i]
         assert r["n_chars"] == n and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["near_edited"] == pytest.approx(alike(paragraphs(text), paragraphs(edited)))
         assert r["near_next"] == pytest.approx(alike(paragraphs(text), paragraphs(after)))
+        if n < 30_000:  # plain peeling is slow
+            assert r["near_edited"] == pytest.approx(likeness_of(r["fingerprint"], r["edited_fingerprint"]))
+            assert r["near_next"] == pytest.approx(likeness_of(r["fingerprint"], got[j]["fingerprint"]))
         prints[text].add(r["fingerprint"])
+        prints[edited].add(r["edited_fingerprint"])
     assert all(len(p) == 1 for p in prints.values())
 
 
-@pytest.mark.parametrize("run", [2000, 7])
-def test_fingerprints_of_a_table(spark, table, monkeypatch, run):
+@pytest.mark.parametrize(("run", "fan"), [(2000, 1000), (7, 1000), (3, 3)])
+def test_fingerprints_of_a_table(spark, table, monkeypatch, run, fan):
+    """The runs of rows and the bounds of their numbers make no difference."""
     monkeypatch.setattr(bloom_lookup, "RUN_ROWS", run)
+    monkeypatch.setattr(bloom_lookup, "FAN", fan)
     at, rows = table
     got = {r["doc_id"]: r for r in bloom_lookup.op4_bloom_lookup(spark, at).collect()}
     check_fingerprints(got, [(i, t or "") for i, t, *_ in reversed(rows)])
@@ -48,11 +120,12 @@ def test_fingerprints_of_a_table(spark, table, monkeypatch, run):
 def test_sketches_are_tried_again(spark, monkeypatch):
     """With one cell a table nothing peels at first; each attempt doubles the size."""
     monkeypatch.setattr(bloom_lookup, "LEAST", 1)
+    monkeypatch.setattr(bloom_lookup, "LOAD", 0.05)
     monkeypatch.setattr(bloom_lookup, "ROUNDS", 2)
     rows = [(i, list(range(i * 10, i * 10 + 3 + i)), list(range(i * 10 + 2, i * 10 + 4))) for i in range(12)]
     df = spark.createDataFrame(rows, "row long, a array<long>, b array<long>")
-    got = {r["row"]: r["near"] for r in bloom_lookup.likeness(df, {"near": ("a", "b")}).collect()}
-    assert got == pytest.approx({i: alike(set(a), set(b)) for i, a, b in rows})
+    got = {r["row"]: r for r in bloom_lookup.peeled(df, [("a", "b")], 2).collect()}
+    assert {i: r["added_0"] for i, r in got.items()} == {i: len(set(a) - set(b)) for i, a, b in rows} and max(r["seed_0"] for r in got.values()) > 1
 
 
 def test_fingerprint_edges(spark, docs, empty):
