@@ -95,8 +95,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.expr(literal(-(1 << 63)))).alias("id"))
     runs = max(1, rows.count() // RUN_ROWS)
     wide = min(FAN, int(runs**0.5) + 1)
-    tops = rows.agg(quantiles(wide).alias("tops")).first()["tops"]  # at most FAN ids
-    coarse = rows.withColumn("part", found(f"array({','.join(map(literal, filter(lambda x: x is not None, tops)))})", str(len(tops)), wide))
+    tops = [x for x in rows.agg(quantiles(wide).alias("tops")).first()["tops"] or () if x is not None] or [0]  # at most FAN ids
+    coarse = rows.withColumn("part", found(f"array({','.join(map(literal, tops))})", str(len(tops)), wide))
     # written, as a rerun might find other quantiles
     lower = coarse.groupBy(F.col("part").alias("of")).agg(quantiles(min(FAN, -(-runs // wide))).alias("ends"))
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)  # over FAN rows
