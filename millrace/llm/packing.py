@@ -22,10 +22,12 @@ no rows; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import heapq
+import string
 import sys
 import zlib
 from array import array
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,9 @@ GROUP = 256
 FILL = 0.98
 #: Ids of a chunk that a piece may be cut into.
 CHUNK = 512
-#: Words whose ids are kept, in each of two generations.
-WORDS = 500_000
+#: Words whose ids are kept, and of these the most that have been in one batch only, which are the first to go.
+WORDS = 900_000
+ONCE = 400_000
 
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -48,10 +51,12 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are packed on machines with little-endian 32-bit integers")
 
 
-#: A mark after a word is a run of its own to the tokenizer.
-MARKS = b".,;:!?"
+#: ASCII marks; a run of them after a word's letters is a run of its own to the tokenizer.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 #: Letters that are in normal form by themselves, and have one letter as their lower case.
-LATIN = frozenset(chr(c) for c in range(0xC0, 0x180) if c not in (0xD7, 0xF7, 0x130))
+LATIN = frozenset(string.ascii_letters) | {chr(c) for c in range(0xC0, 0x180) if c not in (0xD7, 0xF7, 0x130)}
+#: What the pieces of the vocabulary that end a run are marked with.
+RUN_END = "</w>"
 
 
 class Words:
@@ -59,10 +64,11 @@ class Words:
 
     The tokenizer lower-cases and never joins characters across white space, so a
     text's ids are those of its lower-cased words one after another, and most words
-    have been seen before.  A run of letters is encoded by itself, and so is a mark
-    after it, so a word is found with any mark; Latin letters need no normal form
-    and go to the tokenizer without the steps that do nothing for them.  Texts that
-    hold a special token's string are encoded as a whole.
+    have been seen before.  A run of letters is encoded by itself, and so are the
+    marks after it, so a word is found with any marks; Latin letters need no normal
+    form and go to the tokenizer without the steps that do nothing for them, all new
+    runs at once, as each ends with a piece that says so.  Texts that hold a special
+    token's string are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -74,53 +80,71 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(RUN_END)]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = {c: self.whole(bytes([c])) for c in MARKS}
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.once: set[bytes] = set()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         split = [t.lower().split() for t in texts]
         need = set().union(*split)
-        if len(self.new) + len(need) > WORDS:
-            self.old, self.new = self.new, {}
-        self.learn(need.difference(self.new))
-        get = self.new.__getitem__
+        if len(self.once) > ONCE:
+            for w in self.once:
+                del self.known[w]
+            self.once.clear()
+        if len(self.known) > WORDS:
+            self.known.clear()
+            self.once.clear()
+        new = need.difference(self.known)
+        self.once -= need
+        self.once |= new
+        self.learn(new)
+        get = self.known.__getitem__
         return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
     def learn(self, words: set[bytes]) -> None:
-        new, old, marks = self.new, self.old, self.marks
-        runs: dict[str, bytes] = {}  # runs of letters to encode
-        later: list[tuple[bytes, str, bytes]] = []  # words that are such a run, and the ids of the mark after it
+        known, marks = self.known, self.marks
+        later: list[tuple[bytes, bytes, bytes]] = []  # words, their letters in lower case, and the ids of the marks after them
         other: list[bytes] = []
         for w in words:
-            if (known := old.get(w)) is not None:
-                new[w] = known
-                continue
-            after = marks.get(w[-1])
-            run = w if after is None else w[:-1]
-            letters = run.decode()
+            run = w.rstrip(MARKS)
+            after = b""
+            if len(run) < len(w):
+                after = marks.get(w[len(run) :])
+                if after is None:
+                    if len(marks) > ONCE:
+                        marks.clear()
+                    after = marks[w[len(run) :]] = self.whole(w[len(run) :])
+                if not run:
+                    known[w] = after
+                    continue
+                if (ids := known.get(run)) is not None:
+                    known[w] = ids + after
+                    continue
             if not run.isascii():
-                if not LATIN.issuperset(c for c in letters if c > "\x7f"):
+                letters = run.decode()
+                if not letters.isalpha() or not LATIN.issuperset(letters):
                     other.append(w)
                     continue
-                letters = letters.lower()
-            if not letters.isalpha():
+                run = letters.lower().encode()
+            elif not run.isalpha():
                 other.append(w)
                 continue
-            known = new.get(run) if after is not None else None
-            if known is not None:
-                new[w] = known + after
-                continue
-            runs[letters] = b""
-            later.append((w, letters, after or b""))
-        for r, e in zip(runs, self.letters.encode_batch_fast(list(runs), add_special_tokens=False), strict=True):
-            runs[r] = array("I", e.ids).tobytes()
-        for w, letters, after in later:
-            new[w] = runs[letters] + after
+            later.append((w, run, after))
+        runs = list({r for _, r, _ in later})
+        ids = np.array(self.letters.encode(b" ".join(runs).decode(), add_special_tokens=False).ids, "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        raw, at, found = ids.tobytes(), 0, {}
+        for r, end in zip(runs, ends, strict=True):
+            found[r] = raw[at:end]
+            at = end
+        for w, run, after in later:
+            known[w] = found[run] + after
         for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
-            new[w] = array("I", e.ids).tobytes()
+            known[w] = array("I", e.ids).tobytes()
 
     def whole(self, text: bytes) -> bytes:
         return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()

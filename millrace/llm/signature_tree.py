@@ -354,7 +354,8 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     """
     sets = settle(set_rows(docs, words), "sets")
     known = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
-    smallest = known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b")
+    # written, so that the join is between plain shuffles, which adaptive execution can split
+    smallest = settle(known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b"), "smallest")
     equal = settle(known.join(smallest, F.col("set_id") == F.col("own")).where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")), "equal")
     # batches have combined their rows, so a key has one for each batch at most
     shared = key_rows(docs, words, part, whole).withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head")
