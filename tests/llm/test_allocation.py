@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import heapq
 import random
+import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
+from test_text_matching import signed
 
 from millrace.llm import mixing, packing, sharding
 from millrace.llm.common import tokenizer_path
@@ -73,10 +76,85 @@ def test_sainte_lague_equals_the_plain_one(seed):
         assert sum(mixing.sainte_lague(votes, seats, limit)) == sum(given)
 
 
-def test_targets_stop_and_share_again():
-    assert mixing.targets([10, 10, 10]) == pytest.approx([18.75, 7.5, 3.75])
-    assert mixing.targets([1, 100, 99]) == pytest.approx([3, 197 * 2 / 3, 197 / 3])
-    assert mixing.targets([0, 0]) == [0, 0] and mixing.targets([]) == []
+def plain_targets(sizes, weights=(5, 2, 1), times=3):
+    out, left, open_ = [0.0] * len(sizes), float(sum(sizes)), set(range(len(sizes)))
+    while open_:
+        whole = sum(weights[i % len(weights)] for i in open_)
+        over = [i for i in sorted(open_) if left * weights[i % len(weights)] / whole > times * sizes[i]]
+        if not over:
+            for i in open_:
+                out[i] = left * weights[i % len(weights)] / whole
+            break
+        for i in over:
+            out[i] = float(times * sizes[i])
+        open_ -= set(over)
+        left = float(sum(sizes)) - sum(out)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 99], [0, 0], [7], [3, 900, 2, 1, 0, 50, 10_000, 20]])
+def test_targets_stop_and_share_again(spark, sizes, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED", 3)
+    rows = [(i, "w " * n, f"s{i:02}" if i + 1 < len(sizes) else None) for i, n in enumerate(sizes)]
+    got = {r["doc_id"]: r["target"] for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=4).collect()}
+    assert [got[i] for i in range(len(sizes))] == pytest.approx(plain_targets(sizes))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotas_of_sources_equal_the_plain_ones(spark, seed):
+    pick = random.Random(seed)
+    votes = [(i, float(pick.choice([0, 1, 5, 5, 90.5, 1000])), pick.randrange(40)) for i in range(60)]
+    seats = pick.randrange(600)
+    got = {r["i"]: r["quota"] for r in mixing.quotas(spark.createDataFrame(votes, "i long, target double, most long").repartition(3), seats).collect()}
+    given = [0] * len(votes)
+    queue = [(-v, i) for i, v, most in votes if v > 0 and most]
+    heapq.heapify(queue)
+    for _ in range(seats):
+        if queue:
+            _, i = heapq.heappop(queue)
+            given[i] += 1
+            if given[i] < votes[i][2]:
+                heapq.heappush(queue, (-votes[i][1] / (2 * given[i] + 1), i))
+    assert [got[i] for i in range(len(votes))] == given
+
+
+def plain_mix(rows, block=64, seed=8):
+    """{doc_id: words taken}: whole tables in lists, by the same seeded order and plan of a source's shards."""
+    sizes = {i: len((t or "").encode().split()) for i, t, _ in rows}
+    names = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    own = [[i for i, _, s in rows if s == name] for name in names]
+    sums = [sum(sizes[i] for i in ids) for ids in own]
+    part = max(mixing.LEAST_SHARD, sum(sums) // mixing.MAX_SHARDS)
+    place = lambda i, first: signed(xxhash.xxh64_intdigest(struct.pack("<q", i), xxhash.xxh64_intdigest(struct.pack("<i", first), 42)))
+    dealt = []
+    for ids, n in zip(own, sums, strict=True):
+        parts = max(1, -(-n // part))
+        shards = defaultdict(list)
+        for i in ids:
+            shards[place(i, seed) % parts].append(i)
+        dealt.append(shards)
+    most = [3 * sum(-(-sum(sizes[i] for i in ids) // block) for ids in shards.values()) for shards in dealt]
+    goal = plain_targets(sums)
+    seats = mixing.sainte_lague(goal, round(sum(sums) / block), most)
+    taken = {}
+    for at, (shards, quota) in enumerate(zip(dealt, seats, strict=True)):
+        keys = sorted(shards)
+        for k, n, full, extra, a, c in mixing.shape([(k, sum(sizes[i] for i in shards[k])) for k in keys], quota, block, seed, at):
+            word = 0
+            for i in sorted(shards[k], key=lambda i: (place(i, seed + 1), i)):
+                taken[i] = sum(full + ((w // block * a + c) % n < extra) for w in range(word, word + sizes[i]))
+                word += sizes[i]
+    return {i: taken.get(i, 0) for i, *_ in rows}, dict(zip(names, goal, strict=True))
+
+
+@pytest.mark.parametrize("least", [1 << 16, 2000])
+def test_words_taken_equal_the_plain_ones(spark, table, monkeypatch, least):
+    monkeypatch.setattr(mixing, "LEAST_SHARD", least)
+    at, rows = table
+    got = {r["doc_id"]: r for r in mixing.op8_mixing(spark, at).collect()}
+    taken, goal = plain_mix([(i, t, s) for i, t, _, s in rows])
+    assert {i: r["taken"] for i, r in got.items()} == taken
+    assert all(got[i]["target"] == pytest.approx(goal[s]) for i, _, _, s in rows)
 
 
 def test_mix_of_a_table(spark):
@@ -92,7 +170,7 @@ def test_mix_of_a_table(spark):
         sums[r["source"]] += n
         took[r["source"]] += got[r["doc_id"]]["taken"]
     names = sorted(sums, key=lambda s: (s is None, s or ""))
-    goals = dict(zip(names, mixing.targets([sums[s] for s in names]), strict=True))
+    goals = dict(zip(names, plain_targets([sums[s] for s in names]), strict=True))
     for r in rows:
         assert got[r["doc_id"]]["source_size"] == sums[r["source"]] and got[r["doc_id"]]["target"] == pytest.approx(goals[r["source"]])
     assert all(took[s] == pytest.approx(goals[s], rel=0.01) for s in names)
@@ -112,7 +190,7 @@ def test_mixed_documents_hold_what_was_taken(spark):
 
 
 def test_many_shards_and_edges(spark, docs, empty, monkeypatch):
-    monkeypatch.setattr(mixing, "LEAST_SHARD", 50)
+    monkeypatch.setattr(mixing, "LEAST_SHARD", 1000)
     rows = [(i, "w " * (i % 40), f"s{i % 3}" if i % 5 else None) for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = mixing.mix(df, block=16).collect()

@@ -6,11 +6,10 @@ from collections import defaultdict
 
 import corpus_pipeline
 import pytest
-from test_allocation import check_packs
+from test_allocation import check_packs, plain_targets
 from test_row_operators import plain_measure, plain_spans
 from test_text_matching import plain_components, plain_sets
 
-from millrace.llm import mixing
 from millrace.llm.common import settle
 
 
@@ -61,7 +60,7 @@ def test_mixing_stage(stages):
     for r in stages[4].collect():
         took[r["source"]] += len(r["text"].encode().split())
     names = sorted(sums)
-    goals = dict(zip(names, mixing.targets([sums[s] for s in names]), strict=True))
+    goals = dict(zip(names, plain_targets([sums[s] for s in names]), strict=True))
     assert dict(took) == pytest.approx(goals, rel=0.02)
 
 
