@@ -37,12 +37,11 @@ CAPACITY = 4096
 END = 2
 #: Windows that are divided together, and how full they should be.
 GROUP = 256
-FILL = 0.98
+FILL = 0.97
 #: Ids of a chunk that a piece may be cut into.
 CHUNK = 512
-#: Words whose ids are kept, and of these the most that have been in one batch only, which are the first to go.
+#: Words whose ids are kept, in each Python worker for all of its tasks.
 WORDS = 900_000
-ONCE = 400_000
 
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -78,78 +77,88 @@ class Words:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.normalizer = normalizers.Sequence([])
+        # ASCII letters stand for themselves among the bytes
+        self.letters, self.ascii = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.letters.normalizer = self.ascii.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(RUN_END)]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks: dict[bytes, bytes] = {}
         self.known: dict[bytes, bytes] = {}
-        self.once: set[bytes] = set()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         split = [t.lower().split() for t in texts]
-        need = set().union(*split)
-        if len(self.once) > ONCE:
-            for w in self.once:
-                del self.known[w]
-            self.once.clear()
         if len(self.known) > WORDS:
             self.known.clear()
-            self.once.clear()
-        new = need.difference(self.known)
-        self.once -= need
-        self.once |= new
-        self.learn(new)
-        get = self.known.__getitem__
-        return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
+            self.marks.clear()
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        gaps = [i for i, x in enumerate(found) if None in x]
+        self.learn({w for i in gaps for w, x in zip(split[i], found[i], strict=True) if x is None})
+        for i in gaps:
+            found[i] = map(get, split[i])
+        return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(x) for t, x in zip(texts, found, strict=True)]
 
     def learn(self, words: set[bytes]) -> None:
+        """Ids of new words: letters, or letters with marks after them, by runs; others by the whole tokenizer."""
         known, marks = self.known, self.marks
-        later: list[tuple[bytes, bytes, bytes]] = []  # words, their letters in lower case, and the ids of the marks after them
+        plain = [w for w in words if w.isalpha()]  # ASCII letters alone
+        later: list[tuple[bytes, bytes, bytes]] = []  # words, their letters in lower case, and the marks after them
         other: list[bytes] = []
-        for w in words:
+        for w in words.difference(plain):
             run = w.rstrip(MARKS)
-            after = b""
-            if len(run) < len(w):
-                after = marks.get(w[len(run) :])
-                if after is None:
-                    if len(marks) > ONCE:
-                        marks.clear()
-                    after = marks[w[len(run) :]] = self.whole(w[len(run) :])
-                if not run:
-                    known[w] = after
-                    continue
-                if (ids := known.get(run)) is not None:
-                    known[w] = ids + after
-                    continue
-            if not run.isascii():
+            after = w[len(run) :]
+            if after and after not in marks:
+                marks[after] = self.whole(after)
+            if not run:
+                known[w] = marks[after]
+            elif run.isalpha():
+                later.append((w, run, after))
+            elif run.isascii():
+                other.append(w)
+            else:
                 letters = run.decode()
-                if not letters.isalpha() or not LATIN.issuperset(letters):
+                if letters.isalpha() and LATIN.issuperset(letters):
+                    later.append((w, letters.lower().encode(), after))
+                else:
                     other.append(w)
-                    continue
-                run = letters.lower().encode()
-            elif not run.isalpha():
-                other.append(w)
-                continue
-            later.append((w, run, after))
-        runs = list({r for _, r, _ in later})
-        ids = np.array(self.letters.encode(b" ".join(runs).decode(), add_special_tokens=False).ids, "<u4")
-        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-        raw, at, found = ids.tobytes(), 0, {}
-        for r, end in zip(runs, ends, strict=True):
-            found[r] = raw[at:end]
-            at = end
+        self.runs(self.ascii, plain)
+        new = {r for _, r, _ in later}.difference(known)
+        self.runs(self.ascii, [r for r in new if r.isascii()])
+        self.runs(self.letters, [r for r in new if not r.isascii()])
         for w, run, after in later:
-            known[w] = found[run] + after
+            known[w] = known[run] + marks[after] if after else known[run]
         for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
             known[w] = array("I", e.ids).tobytes()
 
+    def runs(self, tokenizer, runs: list[bytes]) -> None:
+        """Ids of runs of letters in lower case, all at once; a run is done where a piece ends one."""
+        if not runs:
+            return
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        raw, at = ids.tobytes(), 0
+        for r, end in zip(runs, ends, strict=True):
+            self.known[r] = raw[at:end]
+            at = end
+
     def whole(self, text: bytes) -> bytes:
         return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
 
+_words: dict[str, Words] = {}
+
+
+def words_of(path: str | None) -> Words:
+    """The tokenizer with the words it knows, once in each Python worker."""
+    at = tokenizer_path("word_bpe_49k.json", path)
+    if at not in _words:
+        _words[at] = Words(at)
+    return _words[at]
+
+
 def differencing(lengths: list[int], windows: int) -> list[list[int]]:
     """The places of ``lengths`` in each of so many near-equal windows."""
     # A partial division: its windows that hold something, largest first, as (sum, what is in it); what is in it is a place or a pair of such.
@@ -218,7 +227,7 @@ def pieces(docs: DataFrame, path: str | None, end: int, capacity: int, chunk: in
     names = ["doc_id", "start", "length", "crc", "doc_tokens", "crcs"]
 
     def make():
-        words = Words(tokenizer_path("word_bpe_49k.json", path))
+        words = words_of(path)
 
         def rows(cols):
             out = {k: [] for k in names}
