@@ -64,12 +64,12 @@ def band(metric_type: str | None, value: Column) -> Column:
     return out
 
 
-def metric_rows(df: DataFrame, metric_type: str, value: Column, *, service: str = "service_name", start: Column | str = "window_start_ms", end: Column | str = "window_end_ms", samples: Column | str = "sample_count", detail: Column | None = None, received: Column | str = "received", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows in the shape of METRIC, after the columns ``keep``."""
+def metric_rows(df: DataFrame, metric_type: str | None, value: Column, *, service: str = "service_name", start: Column | str = "window_start_ms", end: Column | str = "window_end_ms", samples: Column | str = "sample_count", detail: Column | None = None, received: Column | str = "received", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in the shape of METRIC, after the columns ``keep``; without a type, by the column metric_type."""
     at = lambda c: F.col(c) if isinstance(c, str) else c
     v = value.cast("double")
     return df.select(
-        *keep, F.lit(metric_type).alias("metric_type"), F.coalesce("pipeline_id", F.lit("")).alias("pipeline_id"), F.coalesce(F.col(service), F.lit("")).alias("service_name"),
+        *keep, (F.col("metric_type") if metric_type is None else F.lit(metric_type)).alias("metric_type"), F.coalesce("pipeline_id", F.lit("")).alias("pipeline_id"), F.coalesce(F.col(service), F.lit("")).alias("service_name"),
         at(start).cast("long").alias("window_start_ms"), at(end).cast("long").alias("window_end_ms"), v.alias("value"), band(metric_type, v).alias("performance_band"), at(samples).cast("long").alias("sample_count"),
         (F.lit(None).cast("string") if detail is None else detail).alias("detail"), at(received).cast("long").alias("received"),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
 from ..functions.columns import earliest, is_failure, last_by, metric_rows, window_start
 from .route import of_types
+from .runs import row_before
 
 
 def failed_deploy() -> Column:
@@ -30,15 +31,30 @@ def change_failure_rate(events: DataFrame, size: int = V.FAILURE_WINDOW) -> Data
     return metric_rows(_by_window(of_types(events, "DEPLOY_SUCCESS", "DEPLOY_FAILED"), size), V.CHANGE_FAILURE_RATE, F.col("failed") * F.lit(100.0) / F.col("sample_count"))
 
 
+def both_by_window(events: DataFrame, size: int = V.DEPLOY_WINDOW) -> DataFrame:
+    """Deployment frequency and change failure rate from one pass over the deployments: the rows of both."""
+    own = of_types(events, "DEPLOY_SUCCESS", "DEPLOY_FAILED").withColumn("window_start_ms", window_start("ts", size))
+    ok = F.col("event_type") == "DEPLOY_SUCCESS"
+    first = lambda when: F.coalesce(F.min(F.when(when & (F.col("received") > 0), F.col("received"))), F.lit(0).cast("long"))
+    sums = own.groupBy("pipeline_id", "window_start_ms").agg(
+        F.sum(ok.cast("long")).alias("ok"), F.max_by(F.when(ok, F.col("service_name")), F.when(ok, F.col("seq"))).alias("ok_service"), first(ok).alias("ok_received"),
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(failed_deploy(), 1).otherwise(0)).alias("failed"), last_by("service_name").alias("service"), first(F.lit(True)).alias("any_received"),
+    )
+    one = lambda name, value, n, service, received: F.struct(F.lit(name).alias("metric_type"), value.cast("double").alias("value"), F.col(n).alias("sample_count"), F.col(service).alias("service_name"), F.col(received).alias("received"))
+    rate = F.col("failed") * F.lit(100.0) / F.col("n")
+    each = F.array(one(V.DEPLOYMENT_FREQUENCY, F.col("ok"), "ok", "ok_service", "ok_received"), one(V.CHANGE_FAILURE_RATE, rate, "n", "service", "any_received"))
+    rows = sums.select("pipeline_id", "window_start_ms", F.inline(each)).where("sample_count > 0").withColumn("window_end_ms", F.col("window_start_ms") + size)
+    return metric_rows(rows, None, F.col("value"))
+
+
 def _since_start(events: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """Rows of type ``end`` right after one of type ``start`` with the same keys, by arrival.
 
     Each type that is left either sets or clears what is pending, so something is
     pending just when the row before has set it.
     """
-    w = Window.partitionBy(*keys).orderBy("seq")
-    before = lambda c: F.lag(c).over(w)
-    paired = events.select("pipeline_id", "commit_sha", "service_name", "event_type", "ts", "received", "seq", before("event_type").alias("_type"), before("ts").alias("window_start_ms"), before("received").alias("_received"))
+    before = row_before(events.select("pipeline_id", "commit_sha", "service_name", "event_type", "ts", "received", "seq"), keys, ["event_type", "ts", "received"], "seq")
+    paired = before.select("*", F.col("_before.event_type").alias("_type"), F.col("_before.ts").alias("window_start_ms"), F.col("_before.received").alias("_received")).drop("_before")
     return paired.where((F.col("event_type") == end) & (F.col("_type") == start)).withColumns({"window_end_ms": F.col("ts"), "minutes": (F.col("ts") - F.col("window_start_ms")) / F.lit(60000.0)})
 
 

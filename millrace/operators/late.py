@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
 from ..functions.columns import earliest, last_by, metric_rows, window_start
-
-#: Arrivals whose running maximum one task finds.
-RUN = 50_000
+from .runs import RUN, highest_before
 
 #: By source metric: the types it counts and the size of its windows.
 SOURCES = {
@@ -20,17 +18,9 @@ SOURCES = {
 
 
 def arrival_watermark(events: DataFrame, delay: int = V.OUT_OF_ORDER, run: int = RUN) -> DataFrame:
-    """Events with ``watermark``: the latest event time of all earlier arrivals less ``delay``; null for the first.
-
-    A running maximum over everything, in two steps: within runs of arrivals, and
-    over the runs' maxima, of which there are as many as there are runs.
-    """
-    own = events.withColumn("_run", F.floor(F.col("seq") / run))
-    tops = own.groupBy("_run").agg(F.max("ts").alias("_top"))
-    before = tops.select(F.col("_run").alias("_r"), F.max("_top").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
-    inside = F.max("ts").over(Window.partitionBy("_run").orderBy("seq", "number" if "number" in events.columns else "ts").rowsBetween(Window.unboundedPreceding, -1))
-    joined = own.withColumn("_inside", inside).join(before, F.col("_run") == F.col("_r"), "left")
-    return joined.withColumn("watermark", F.greatest("_inside", "_earlier") - delay).drop("_run", "_r", "_inside", "_earlier")
+    """Events with ``watermark``: the latest event time of all earlier arrivals less ``delay``; null for the first."""
+    more = ("number",) if "number" in events.columns else ("ts",)
+    return highest_before(events, [], "ts", "seq", more, run).withColumn("watermark", F.col("_before") - delay).drop("_before")
 
 
 def truly_late(events: DataFrame, lateness: int = V.ALLOWED_LATENESS, delay: int = V.OUT_OF_ORDER) -> DataFrame:

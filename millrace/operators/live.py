@@ -19,6 +19,7 @@ from .dora import failed_deploy
 from .health import samples, score, stage_sums
 from .late import arrival_watermark
 from .route import of_types
+from .runs import highest_before
 
 
 def accepted(events: DataFrame, size: int, gate: bool = False, delay: int = V.OUT_OF_ORDER) -> DataFrame:
@@ -30,8 +31,7 @@ def accepted(events: DataFrame, size: int, gate: bool = False, delay: int = V.OU
     ended = events.withColumn("_end", window_start("ts", size) + size)
     if gate:
         ended = arrival_watermark(ended, delay).where("watermark IS NULL OR watermark <= _end").drop("watermark")
-    so_far = F.max("_end").over(Window.partitionBy("pipeline_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    return ended.withColumn("_most", so_far).where("_most IS NULL OR _end >= _most").drop("_most")
+    return highest_before(ended, ["pipeline_id"], "_end", "seq").where("_before IS NULL OR _end >= _before").drop("_before")
 
 
 def _rows(own: DataFrame, metric_type: str, sums: dict[str, Callable], value: Column, count: Column, received: Callable[[Column], Column] | None, each: bool, empty: float) -> DataFrame:

@@ -25,7 +25,7 @@ def metrics(events: DataFrame, delay: int = 5 * V.SECOND) -> DataFrame:
     A row is written ``delay`` after its window closed or, for live rows, after the
     last event came, so that tables of the same events are the same.
     """
-    closed = [dora.deployment_frequency(events), dora.change_failure_rate(events), dora.lead_time(events), dora.recovery_time(events), health.health_score(events)]
+    closed = [dora.both_by_window(events), dora.lead_time(events), dora.recovery_time(events), health.health_score(events)]
     rows = [m.withColumn("inserted_at", F.col("window_end_ms") + delay) for m in closed]
     for m in (live.live_deployments(events), live.live_failure_rate(events), live.live_health(events)):
         increments = m.where("seq IS NOT NULL").select("seq", *METRIC_COLUMNS)

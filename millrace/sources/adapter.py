@@ -1,8 +1,10 @@
 """The driver's table ``events`` as delivery events.
 
 Its five types of event stand for the stages; a number in ``props`` gives outcome,
-status and rollbacks.  ``clock`` squeezes time for patterns, which need density;
-``shuffled`` delays the arrival of some events, as the table itself is in order.
+status and rollbacks.  Most events are received five seconds after their time, some
+more than the allowed disorder after it, and some have a time of arrival that isn't
+positive.  ``clock`` squeezes time for patterns, which need density; ``shuffled``
+delays the arrival of some events, as the table itself is in order.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def events(spark: SparkSession, sf_dir: str, clock: int = 1, shuffled: bool = Fa
         F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_timestamp"),
         F.when(F.col("k") % 20 == 19, "failure").when(F.col("k") % 3 == 2, "FAILURE").otherwise("SUCCESS").alias("status"),
         "ts",
-        (F.col("ts") + 5000).alias("received"),
-        (F.col("event_id") + F.when(F.col("k") == 42, 400).otherwise(0) if shuffled else F.col("event_id")).cast("long").alias("seq"),
+        F.when(F.col("k") % 10 == 7, F.col("ts") + 45_000).when(F.col("k") % 25 == 3, 0).when(F.col("k") % 25 == 4, -1).otherwise(F.col("ts") + 5000).alias("received"),
+        (2 * F.col("event_id") + F.when(F.col("k").between(42, 44), 801).otherwise(0) if shuffled else F.col("event_id")).cast("long").alias("seq"),
         F.col("event_id").alias("number"),
     )

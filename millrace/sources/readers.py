@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import EVENT
@@ -27,11 +27,37 @@ def kafka_events(spark: SparkSession, servers: str, topic: str = "cicd-events",
 def json_lines(spark: SparkSession, path: str, received: Column | None = None, stream: bool = False) -> DataFrame:
     """Events of files with a message on each line; a stream takes a file at a time.
 
-    ``seq`` orders the lines of a file, and files by their names.
+    ``seq`` numbers the lines of all files, files by name and lines by place, however
+    Spark deals them out.  In a stream, which can't know what is to come, files follow
+    each other by their times, to the second, and lines by place.
     """
     reader = spark.readStream.format("text").schema("value string").option("maxFilesPerTrigger", 1) if stream else spark.read.format("text")
-    raw = reader.load(path)
-    return decode(raw.select("value", (now_ms() if received is None else received).alias("received"), F.monotonically_increasing_id().alias("seq")))
+    lines = reader.load(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.unix_seconds("_metadata.file_modification_time").alias("at"))
+    arrived = (now_ms() if received is None else received).alias("received")
+    if stream:
+        # a block's lines have places below its length in bytes, so places rise over blocks
+        placed = lines.mapInArrow(_placed, "value string, block long, at long, line long")
+        return decode(placed.select("value", arrived, (F.shiftleft("at", 32) + F.col("block") + F.col("line")).alias("seq")))
+    lines = lines.withColumn("id", F.monotonically_increasing_id())
+    # a block is read by one task in order, so its lines are numbered in a row
+    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block")) - F.col("n")  # a row for each block of the files
+    blocks = blocks.select(F.col("file").alias("of"), F.col("block").alias("from"), (before - F.col("first")).alias("add"))
+    both = lines.join(blocks, (F.col("file") == F.col("of")) & (F.col("block") == F.col("from")))
+    return decode(both.select("value", arrived, (F.col("id") + F.col("add")).alias("seq")))
+
+
+def _placed(batches):
+    """Lines with their number in their block of a file; a task reads a block in order."""
+    import pyarrow as pa
+
+    seen: dict[tuple, int] = {}
+    for b in batches:
+        number = []
+        for at in zip(b["file"].to_pylist(), b["block"].to_pylist(), strict=True):
+            number.append(seen.get(at, 0))
+            seen[at] = number[-1] + 1
+        yield pa.RecordBatch.from_arrays([b["value"], b["block"], b["at"], pa.array(number, pa.int64())], ["value", "block", "at", "line"])
 
 
 def grouped_json(spark: SparkSession, path: str, received: Column | None = None) -> DataFrame:

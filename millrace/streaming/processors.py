@@ -17,6 +17,8 @@ OUT = "kind string, metric_type string, pipeline_id string, service_name string,
 NAMES = [c.strip().split()[0] for c in OUT.split(",")]
 NEEDED = ("pipeline_id", "event_id", "service_name", "branch", "commit_sha", "event_type", "event_timestamp", "status", "ts", "received", "seq")
 HEARTBEAT = "__heartbeat__"
+#: Keys that heartbeats are dealt over.
+HEARTBEATS = 64
 PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
@@ -49,7 +51,7 @@ class MachineProcessor(StatefulProcessor):
                 self.handle.registerTimer(t)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if key[0] == HEARTBEAT:
+        if key[0].startswith(HEARTBEAT):
             for _ in rows:
                 pass
             return
@@ -77,9 +79,9 @@ def with_state(events: DataFrame, name: str, make: Callable[[dict | None], Machi
     """The rows of a machine of MACHINES (or of ``make``) over a stream of events.
 
     Only what machines read goes to Python.  Timed machines need the watermark and
-    all late events, but Spark drops rows behind the watermark: so an event is two
-    rows, one with its data and no time, which is never late, and one with its time
-    under a key that does nothing, which moves the watermark.
+    all late events, but Spark drops rows behind the watermark: so an event has no
+    time, and is never late, and rows of their own, which do nothing else, move the
+    watermark.
     """
     make = make or MACHINES[name]
     machine = make(None)
@@ -87,16 +89,34 @@ def with_state(events: DataFrame, name: str, make: Callable[[dict | None], Machi
     own = own.select(*[c for c in NEEDED if c in events.columns])
     if not machine.timed:
         return own.groupBy("pipeline_id").transformWithState(MachineProcessor(make), OUT, "Append", "None")
-    everything = events.select(*[c for c in NEEDED if c in events.columns])
-    wanted = F.col("event_type").isin(*machine.types)
-    none = F.lit(None).cast("timestamp")
-    beat = F.struct(F.lit(HEARTBEAT).alias("to"), F.timestamp_millis("ts").alias("at"))
-    data = F.struct(F.coalesce("pipeline_id", F.lit("")).alias("to"), none.alias("at"))
-    both = everything.withColumn("_r", F.explode(F.when(wanted, F.array(beat, data)).otherwise(F.array(beat))))
-    rows = both.select("_r.to", "_r.at", *everything.columns).withWatermark("at", f"{delay_ms} milliseconds")
+    rows = with_heartbeats(own, events, machine.types).withWatermark("at", f"{delay_ms} milliseconds")
     return rows.groupBy("to").transformWithState(MachineProcessor(make), OUT, "Append", "EventTime")
 
 
+def with_heartbeats(own: DataFrame, events: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    """(to, at, ...): wanted events without a time, and the latest time of each task's batch of all events, under one of HEARTBEATS keys."""
+    names = own.columns
+    wanted = F.col("event_type").isin(*types) if types else F.lit(True)
+    rows = events.select(F.coalesce("pipeline_id", F.lit("")).alias("to"), F.lit(None).cast("timestamp").alias("at"), F.coalesce(wanted, F.lit(False)).alias("wanted"), *names)
+    schema = rows.drop("wanted").schema
+
+    def beats(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        key = f"{HEARTBEAT}{TaskContext.get().partitionId() % HEARTBEATS}"
+        for b in batches:
+            data = b.filter(b["wanted"]).drop_columns(["wanted"])
+            if data.num_rows:
+                yield data
+            if (top := pc.max(b["ts"]).as_py()) is not None:
+                beat = {"to": pa.array([key], data.schema.field("to").type), "at": pa.array([top * 1000], pa.int64()).cast(data.schema.field("at").type)}
+                yield pa.RecordBatch.from_arrays([beat.get(f.name, pa.nulls(1, f.type)) for f in data.schema], schema=data.schema)
+
+    return rows.mapInArrow(beats, schema)
+
+
 def configure(spark: SparkSession) -> None:
     """The state store that keyed state needs."""
     spark.conf.set(*PROVIDER)

@@ -46,3 +46,45 @@ def test_generators_and_files(spark, tmp_path):
     (tmp_path / "groups.json").write_text(json.dumps({"a": made[:3], "b": made[3:5]}))
     got = readers.grouped_json(spark, str(tmp_path / "groups.json")).orderBy("seq").collect()
     assert [r["event_id"] for r in got] == [m["event"]["event_id"] for m in made[:5]]
+
+
+def test_lines_are_numbered_by_file_and_place(spark, tmp_path):
+    """Whatever the sizes of the files, in which Spark deals them out, and however they are split."""
+    line = lambda name, i: json.dumps({"pipeline_id": name, "event_id": f"{i}", "event_type": "X" * (i % 50)})
+    for name, n in (("a", 2), ("b", 500), ("c", 30)):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(line(name, i) for i in range(n)))
+    want = [("a", i) for i in range(2)] + [("b", i) for i in range(500)] + [("c", i) for i in range(30)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "5000", "1000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = readers.json_lines(spark, str(tmp_path)).collect()
+        assert [(r["pipeline_id"], int(r["event_id"])) for r in sorted(got, key=lambda r: r["seq"])] == want
+        assert sorted(r["seq"] for r in got) == list(range(532))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_streamed_files_follow_their_times(spark, tmp_path):
+    import os
+
+    for k, name in enumerate("zya"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"pipeline_id": name, "event_id": str(i)}) for i in range(5)))
+        os.utime(tmp_path / f"{name}.jsonl", (1_700_000_000 + k, 1_700_000_000 + k))
+    found = []
+    q = readers.json_lines(spark, str(tmp_path), stream=True).writeStream.foreachBatch(lambda b, i: found.extend(b.collect())).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert [(r["pipeline_id"], r["event_id"]) for r in sorted(found, key=lambda r: r["seq"])] == [(n, str(i)) for n in "zya" for i in range(5)]
+
+
+def test_events_between_the_steps_do_not_matter(spark, tmp_path):
+    """Generated scenarios with other events between their steps, written to a file and read again, match as without them."""
+    from millrace.operators import patterns
+
+    start = datetime(2026, 7, 8, tzinfo=UTC)
+    for name, p in zip(("rollback_cascade", "deploy_instability", "build_ok_deploy_broken"), patterns.PATTERNS, strict=True):
+        for noise in ((), ("TEST_STARTED", "TEST_SUCCESS")):
+            path = str(tmp_path / f"{name}{len(noise)}.jsonl")
+            n, rate = generate.write_lines(generate.scenario(name, start, noise=noise), path)
+            assert n == 3 + 2 * len(noise) and rate > 0
+            events = readers.json_lines(spark, path)
+            assert patterns.matches(events, p).count() == 1
+        assert patterns.matches(readers.from_rows(spark, []), p).count() == 0

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from helpers import BASE, MIN, SEC, event, rows
 
@@ -141,3 +143,21 @@ def test_truly_late_events_and_grace(spark):
     payload = late.audit(found).first()["payload"]
     assert '"event_id":"late"' in payload and '"late":true' in payload
     assert rows(late.late_counts(found), "value", "sample_count") == [(1.0, 1)]
+
+
+@pytest.mark.parametrize("run", [1, 3, 1000])
+def test_runs_make_no_difference(spark, run):
+    """What came before a row, for keys whose rows fall into many runs, runs of runs included."""
+    from millrace.operators.runs import highest_before, row_before
+
+    pick = random.Random(run)
+    rows = [(pick.choice(["a", "b", None]), i, pick.randrange(100)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, seq long, v long").repartition(3)
+    high, last = {}, {}
+    want = {}
+    for k, i, v in rows:
+        want[i] = (high.get(k), last.get(k))
+        high[k], last[k] = max(v, high.get(k, v)), v
+    assert {r["seq"]: r["_before"] for r in highest_before(df, ["k"], "v", "seq", (), run).collect()} == {i: x for i, (x, _) in want.items()}
+    got = row_before(df, ["k"], ["v"], "seq", run).collect()
+    assert {r["seq"]: r["_before"] and r["_before"]["v"] for r in got} == {i: x for i, (_, x) in want.items()}

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 import random
+import time
 
 import pytest
 from helpers import BASE, MIN, SEC, event
@@ -10,6 +11,7 @@ from helpers import BASE, MIN, SEC, event
 from millrace.functions import vocabulary as V
 from millrace.functions.columns import EVENT
 from millrace.operators import dora, late, live
+from millrace.plans import dashboard
 from millrace.plans.sinks import MetricTable, to_sinks
 from millrace.sources.readers import from_rows
 from millrace.streaming import machines as M
@@ -142,14 +144,45 @@ def test_health_bands_machine():
 
 
 def test_whole_job(spark, tmp_path):
+    """Metrics, annotations, the watermark and its panels over streamed tables; a second checkpoint adds to them."""
     events = [event("BUILD_STARTED", 0), event("DEPLOY_SUCCESS", MIN), event("BUILD_FAILED", 2 * MIN), event("BUILD_SUCCESS", 3 * MIN)]
-    posted, marks = [], []
-    listener = jobs.watermark_sink(marks.append)
-    spark.streams.addListener(listener)
-    parts = ("lead_time", "mttr", "live_deployments")
-    for q in jobs.start(stream(spark, tmp_path / "in", spaced(events)), str(tmp_path / "out"), str(tmp_path / "cp"), lambda a: posted.extend(r["text"] for r in a.collect()), parts, {"availableNow": True}):
-        q.awaitTermination(180)
-    got = {r["metric_type"]: r["value"] for r in jobs.metrics(spark, str(tmp_path / "out"), parts).collect()}
-    spark.streams.removeListener(listener)
-    assert got == {V.LEAD_TIME: 1.0, V.RECOVERY_TIME: 1.0, V.DEPLOYMENT_FREQUENCY_LIVE: 1.0}
-    assert len(posted) == 2 and all(m > BASE - MIN for m in marks)
+    posted = []
+    parts = ("watermark", "lead_time", "mttr", "live_deployments")
+    out = str(tmp_path / "out")
+
+    def run(name, some):
+        began = int(time.time() * 1000)
+        for q in jobs.start(stream(spark, tmp_path / name, spaced(some)), out, str(tmp_path / f"cp-{name}"), lambda a: posted.extend(r["text"] for r in a.collect()), parts, {"availableNow": True}):
+            q.awaitTermination(180)
+            assert q.exception() is None
+        return began, {r["metric_type"]: r for r in jobs.metrics(spark, out, parts).collect()}
+
+    began, got = run("in", events)
+    assert {k: r["value"] for k, r in got.items()} == {V.WATERMARK: BASE + 3 * MIN - V.OUT_OF_ORDER, V.LEAD_TIME: 1.0, V.RECOVERY_TIME: 1.0, V.DEPLOYMENT_FREQUENCY_LIVE: 1.0}
+    assert len(posted) == 2 and all(began <= r["inserted_at"] <= time.time() * 1000 for r in got.values())
+    metrics, alerts = jobs.metrics(spark, out, parts), jobs.alerts(spark, out, parts)
+    panels = {name: dashboard.panel(spark, name, metrics, alerts).collect() for name in ("watermark", "latency_trend", "latency_span", "latest_alerts")}
+    assert panels["watermark"][0]["current_watermark"] == BASE + 3 * MIN - V.OUT_OF_ORDER
+    # these events are received at once and written now, so the panels show how long that is
+    assert panels["latency_trend"] and all(r["value"] > 0 for r in panels["latency_trend"]) and all(r["span_ms"] > 0 for r in panels["latency_span"])
+    _, got = run("again", [event("BUILD_STARTED", 10 * MIN, sha="x"), event("DEPLOY_SUCCESS", 14 * MIN, sha="x")])
+    leads = jobs.metrics(spark, out, parts).where(f"metric_type = '{V.LEAD_TIME}'").collect()
+    assert sorted(r["value"] for r in leads) == [1.0, 4.0] and got[V.WATERMARK]["value"] == BASE + 14 * MIN - V.OUT_OF_ORDER
+
+
+def test_the_watermark_only_rises(spark, tmp_path):
+    table = MetricTable(spark, str(tmp_path / "metrics"))
+    sink = jobs.watermark_sink(table)
+    for i, top in enumerate((50_000, 40_000, None, 90_000)):
+        sink(spark.createDataFrame([(top,)], "ts long"), i)
+        assert [r["value"] for r in table.read().collect()] == [{0: 20_000, 3: 60_000}.get(i, 20_000)]
+
+
+def test_heartbeats_are_few_and_spread(spark, tmp_path):
+    """A batch of any number of events makes one heartbeat for each task."""
+    events = [event("TEST_STARTED", i * SEC) for i in range(300)] + [event("DEPLOY_SUCCESS", 301 * SEC)]
+    df = from_rows(spark, events).repartition(3)
+    got = processors.with_heartbeats(df.select(*processors.NEEDED), df, ("DEPLOY_SUCCESS",)).collect()
+    beats = [r for r in got if r["to"].startswith(processors.HEARTBEAT)]
+    assert len(got) - len(beats) == 1 and 1 <= len(beats) <= 3 and len({r["to"] for r in beats}) == len(beats)
+    assert max(r["at"] for r in beats).timestamp() * 1000 == BASE + 301 * SEC and next(r for r in got if r["to"] == "p" or r not in beats)["at"] is None
