@@ -97,6 +97,15 @@ def settle(df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame, by: str, name: str) -> DataFrame:
+    """As ``settle``, with a folder for each value of ``by``, so that one value is read without the others."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}/{name}"
+    df.write.partitionBy(by).parquet(at)
+    atexit.register(_forget, spark, at.rpartition("/")[0])
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def unsettle(df: DataFrame) -> None:
     """Deletes the written table of a frame that ``settle`` returned and nothing reads any more."""
     if at := _places.pop(id(df), None):
