@@ -1,30 +1,38 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training sums n-gram counts of all labelled rows by language and bucket; the
-matrix of log probabilities, languages x BUCKETS floats, is broadcast, and texts
-are scored in batches.  The number of languages is checked against MAX_LANGS, so
-the matrix has a known bound.
+Training sums n-gram counts of all labelled rows by language and bucket; a matrix
+of log probabilities, languages x BUCKETS floats, is broadcast, and texts are scored
+in batches: their sparse counts of buckets times the matrix.  A matrix holds MAX_LANGS
+languages at most; more of them are scored by one matrix after another, and the
+best of all wins.
 
 A null text or one without a letter is ``und`` with score 0; so is every text
 where there was nothing to learn from.  Equal scores go to the language first in
-code point order.  Repeated rows count each.
+code point order.  Repeated rows count each.  A very long text is scored whole, in
+parts of BATCH characters.  Empty tables give no rows; other columns than the named
+ones are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows
+from .common import documents, map_rows, settle, spare
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: The most languages that may be learned: bounds the matrix to 512 MB, and is far above any list of languages in use here.
-MAX_LANGS = 4000
+#: The languages of a matrix, which bounds it to 256 MB.
+MAX_LANGS = 2000
 SMOOTH = 0.5
-#: Characters that are hashed at once.
+#: Characters that are hashed at once, texts that are counted at once, and the cells of the matrix that are gathered at once.
 BATCH = 400_000
+COUNTED = 64
+GATHERED = 1 << 22
 
 
 def letters(text: str | None) -> bool:
@@ -56,12 +64,9 @@ def batches(texts: list[str]):
         at = end
 
 
-def train(docs: DataFrame, lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages in code point order, and log probabilities [bucket, language], the prior in the last row."""
+def train(docs: DataFrame, lang: str = "lang") -> Model:
+    """What all labelled rows have: n-gram counts by language and bucket, the number of texts in the last bucket."""
     rows = docs.select("text", F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    langs = sorted(r[0] for r in rows.select("lang").distinct().limit(MAX_LANGS + 1).collect())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
 
     def make():
         sums: dict[str, np.ndarray] = {}
@@ -90,49 +95,89 @@ def train(docs: DataFrame, lang: str = "lang") -> tuple[list[str], np.ndarray]:
         count.close = flush
         return count
 
-    counts = map_rows(rows, make, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    matrix = np.zeros((BUCKETS + 1, len(langs)))
-    place = {x: i for i, x in enumerate(langs)}
-    which = np.array([place[x] for x in counts["lang"].to_pylist()], np.int64)
-    np.add.at(matrix, (counts["bucket"].to_numpy(), which), counts["n"].to_numpy())
-    logs = np.empty_like(matrix, np.float32)
-    if langs:
-        logs[:BUCKETS] = np.log((matrix[:BUCKETS] + SMOOTH) / (matrix[:BUCKETS].sum(0) + SMOOTH * BUCKETS))
-        logs[BUCKETS] = np.log(np.maximum(matrix[BUCKETS], 1) / max(matrix[BUCKETS].sum(), 1))
-    return langs, logs
-
-
-def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, keep: list[str]) -> DataFrame:
+    counts = settle(map_rows(rows, make, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
+    langs = [(r["lang"], r["n"]) for r in counts.where(F.col("bucket") == BUCKETS).select("lang", "n").orderBy("lang").collect()]
+    return Model(counts, langs)
+
+
+@dataclass
+class Model:
+    """Counts of n-grams, and the languages in code point order with their numbers of texts."""
+
+    counts: DataFrame
+    langs: list[tuple[str, int]]
+
+    def matrices(self, most: int = MAX_LANGS) -> Iterator[tuple[list[str], np.ndarray]]:
+        """For each ``most`` languages their names, and log probabilities [bucket, language], the prior in the last row."""
+        texts = sum(n for _, n in self.langs)
+        for at in range(0, len(self.langs), most):
+            names = [x for x, _ in self.langs[at : at + most]]
+            own = self.counts.where(F.col("lang").between(names[0], names[-1])).toArrow()
+            matrix = np.zeros((BUCKETS + 1, len(names)))
+            place = {x: i for i, x in enumerate(names)}
+            which = np.array([place[x] for x in own["lang"].to_pylist()], np.int64)
+            np.add.at(matrix, (own["bucket"].to_numpy(), which), own["n"].to_numpy())
+            logs = np.empty_like(matrix, np.float32)
+            logs[:BUCKETS] = np.log((matrix[:BUCKETS] + SMOOTH) / (matrix[:BUCKETS].sum(0) + SMOOTH * BUCKETS))
+            logs[BUCKETS] = np.log(matrix[BUCKETS] / texts)
+            yield names, logs
+
+
+def counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(texts, buckets, counts): the sparse counts of texts' n-grams; a text's may come in several."""
+    for at, end, grams, starts in batches(texts):
+        for i in range(at, end, COUNTED):
+            j = min(end, i + COUNTED)
+            own = grams[:, starts[i - at] : starts[j - at]].astype(np.int64)
+            own += np.repeat(np.arange(j - i) * BUCKETS, np.diff(starts[i - at : j - at + 1]))
+            n = np.bincount(own.ravel(), minlength=(j - i) * BUCKETS)
+            found = np.flatnonzero(n)
+            yield i + found // BUCKETS, found % BUCKETS, n[found]
+
+
+def scored(texts: list[str], logs: np.ndarray) -> np.ndarray:
+    """The log probability of each text and language."""
+    total = np.tile(logs[BUCKETS].astype(float), (len(texts), 1))
+    step = max(1, GATHERED // logs.shape[1])
+    for text, bucket, n in counted(texts):
+        for k in range(0, len(text), step):
+            of, b = text[k : k + step], bucket[k : k + step]
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            total[of[first]] += np.add.reduceat(logs[b] * n[k : k + step, None].astype(np.float64), first)
+    return total
+
+
+def predict(docs: DataFrame, model: Model, keep: list[str], most: int = MAX_LANGS) -> DataFrame:
     """The columns ``keep`` of each row with lang_pred and score, the posterior probability."""
-    model = docs.sparkSession.sparkContext.broadcast((langs, logs))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    best = spare(docs, "best")
+    out = docs.select(*dict.fromkeys([*keep, "text"])).withColumns({"lang_pred": F.lit("und"), best: F.lit(None).cast("double"), "score": F.lit(None).cast("double")})
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in dict.fromkeys([*keep, "text"])] + [f"lang_pred string, {best} double, score double"])
+    for names, logs in model.matrices(most):
+        held = docs.sparkSession.sparkContext.broadcast((names, logs))
 
-    def make():
-        langs, logs = model.value
-
-        def rows(cols):
-            texts = cols["text"]
-            pred, score = ["und"] * len(texts), [0.0] * len(texts)
-            own = [i for i, t in enumerate(texts) if letters(t)] if langs else []
-            for at, end, grams, starts in batches([texts[i] for i in own]):
-                total = np.zeros((end - at, len(langs)))
-                for g in grams:
-                    for k in range(len(langs)):  # one language at a time bounds what is gathered
-                        total[:, k] += np.add.reduceat(logs[:, k][g], starts[:-1], dtype=np.float64)
-                total += logs[BUCKETS]
-                best = total.argmax(1)
-                odds = np.exp(total - total.max(1, keepdims=True)).sum(1)
-                for j, i in enumerate(own[at:end]):
-                    pred[i], score[i] = langs[best[j]], float(1 / odds[j])
-            return {k: cols[k] for k in keep} | {"lang_pred": pred, "score": score}
-
-        return rows
-
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + ["lang_pred string, score double"])
-    return map_rows(docs.select(*dict.fromkeys([*keep, "text"])), make, schema)
+        def make(held=held):
+            names, logs = held.value
+
+            def rows(cols):
+                own = [i for i, t in enumerate(cols["text"]) if letters(t)]
+                total = scored([cols["text"][i] for i in own], logs)
+                for i, x, k in zip(own, total, total.argmax(1), strict=True):
+                    # score holds the logarithm of all probabilities' sum until the end
+                    before = cols["score"][i]
+                    every = float(np.logaddexp.reduce(x))
+                    cols["score"][i] = every if before is None else float(np.logaddexp(before, every))
+                    if cols[best][i] is None or x[k] > cols[best][i]:
+                        cols["lang_pred"][i], cols[best][i] = names[k], float(x[k])
+                return cols
+
+            return rows
+
+        out = map_rows(out, make, schema)
+    return out.select(*keep, "lang_pred", F.when(F.col(best).isNull(), 0.0).otherwise(F.least(F.exp(F.col(best) - F.col("score")), F.lit(1.0))).alias("score"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"))
-    langs, logs = train(docs.where("NOT coalesce(held_out, false)"))
-    return predict(docs, langs, logs, ["doc_id", "held_out"]).select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score")
+    model = train(docs.where("NOT coalesce(held_out, false)"))
+    return predict(docs, model, ["doc_id", "held_out"]).select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score")
