@@ -10,10 +10,13 @@ weight 1 / (1 + rank)) and are re-estimated by expected counts over all words of
 the training texts; the scores stay in as a prior.
 
 Words are counted over all training texts.  The words of highest counts, at most
-HEAD of them, are looked up from a broadcast table; others join by key.
+HEAD of them and of LONG bytes each, are looked up from a broadcast table; others
+join by key.
 
 Null and empty texts are an end alone.  Without training texts, base scores are
-0 and pieces keep the vocabulary's weights.  Repeated rows are scored each.
+0 and pieces keep the vocabulary's weights.  Repeated rows are scored each.  A very
+long text or word is scored whole.  Empty tables give no rows; columns other than
+doc_id, text and held_out are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ LONG = 48
 #: Words whose counts or lattices are held at once.
 HELD = 400_000
 CHUNK = 4096
+#: Words whose scores a Python worker remembers for all of its tasks.
+REMEMBERED = 800_000
 #: Words whose lattices are summed together.
 TOGETHER = 60_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -229,6 +234,7 @@ def fit(counts: DataFrame, vocabulary: Pieces, path: str | None, ends: int, roun
 
 
 _loaded: dict[str, Pieces] = {}
+_remembered: dict = {}
 
 
 def _pieces(path: str | None) -> Pieces:
@@ -251,13 +257,13 @@ def score(docs: DataFrame, held_out: str = "held_out", path: str | None = None,
     n, v, ends = whole["n"] or 0, whole["v"], whole["ends"] or 0
     logs, stop = fit(counts, vocabulary, path, ends)
     # the least step of counts above which there are at most ``head`` words
-    step = F.floor(F.log2("n") * 16)
+    step, short = F.floor(F.log2("n") * 16), F.length("word") <= LONG
     room, least = head, math.inf
-    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r["step"]):
+    for r in sorted(counts.where(short).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r["step"]):
         if (room := room - r["k"]) < 0:
             break
         least = r["step"]
-    frequent = counts.where(step >= least).toArrow() if least < math.inf else None
+    frequent = counts.where((step >= least) & short).toArrow() if least < math.inf else None
     words = frequent["word"].to_pylist() if frequent else []
     own = log_probabilities(vocabulary, logs, words)
     known = {w: (c, x) for w, c, x in zip(words, frequent["n"].to_pylist() if frequent else [], own.tolist(), strict=True)}
@@ -270,13 +276,19 @@ def score(docs: DataFrame, held_out: str = "held_out", path: str | None = None,
         logs, known = model.value
         known = {w: (math.log10((c + 0.1) / (n + unit)), x / math.log(10)) for w, (c, x) in known.items()}
         own = _pieces(path)
+        if _remembered.get("model") is not model:  # the same object for all of a worker's tasks
+            _remembered.update(model=model, lattice={})
+        lattice = _remembered["lattice"]
         state = {"row": TaskContext.get().partitionId() << 33}
         at_end = math.log10((ends + 0.1) / (n + unit))
 
         def rows(cols):
             held_words = [Counter((t or b"").lower().split()) for t in cols["text"]]
-            rare = list(set().union(*held_words).difference(known))
-            lattice = dict(zip(rare, (log_probabilities(own, logs, rare) / math.log(10)).tolist(), strict=True))
+            rare = list(set().union(*held_words).difference(known, lattice))
+            if len(lattice) + len(rare) > REMEMBERED:
+                lattice.clear()
+                rare = list(set().union(*held_words).difference(known))
+            lattice.update(zip(rare, (log_probabilities(own, logs, rare) / math.log(10)).tolist(), strict=True))
             texts: dict[str, list] = {k: [] for k in ("row", "tokens", "known", "base", "score")}
             later: tuple[list, list, list] = ([], [], [])
             for words in held_words:
@@ -303,7 +315,7 @@ def score(docs: DataFrame, held_out: str = "held_out", path: str | None = None,
 
     found = settle(map_rows(docs.select("doc_id", held_out, "text"), make, "row long, doc_id long, held_out boolean, tokens long, known long, base double, score double, word binary, times long", binary=("text",)), "scored")
     rare = found.where("word IS NOT NULL").select("row", "word", "times")
-    others = counts.where(step < least) if least < math.inf else counts
+    others = counts.where((step < least) | ~short) if least < math.inf else counts
     c = F.coalesce("n", F.lit(0))
     joined = rare.join(others.where(F.length("word") > 0).withColumnRenamed("word", "_word"), F.col("word") == F.col("_word"), "left")
     more = joined.groupBy("row").agg(F.sum(F.col("times") * F.log10((c + 0.1) / (n + unit))).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("seen")).withColumnRenamed("row", "_row")
