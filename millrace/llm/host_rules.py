@@ -8,7 +8,9 @@ over ``limit``; a document is kept if it passes the base rules and its host isn'
 rejected.
 
 Nulls in the text count as an empty text, which fails; a null host is a host of
-its own.  Repeated rows count each.  Empty tables give no rows.
+its own.  Repeated rows count each.  A very long text is measured whole.  A rate equal
+to the limit doesn't reject.  Empty tables give no rows; other columns are carried by
+``kept_documents`` alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, settle
+from .common import documents, map_rows, settle, spare
 
 SPACE = b" \t\n\r\x0b\x0c"
 FOLLOWING = bytes(range(0x80, 0xC0))
@@ -140,8 +142,9 @@ def kept_documents(docs: DataFrame, host: str = "source", limit: float = LIMIT)
     The texts don't shuffle unless the rejected hosts outgrow a broadcast.
     """
     stats = settle(measured(docs, [host]), "measured")
-    bad = host_verdicts(stats, host, limit=limit).where("host_rejected").select(F.col("host").alias("_rejected"))
-    return passing(docs).join(bad, F.col(host).eqNullSafe(F.col("_rejected")), "left_anti")
+    rejected = spare(docs, "rejected")
+    bad = host_verdicts(stats, host, limit=limit).where("host_rejected").select(F.col("host").alias(rejected))
+    return passing(docs).join(bad, F.col(host).eqNullSafe(F.col(rejected)), "left_anti")
 
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

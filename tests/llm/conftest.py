@@ -18,7 +18,9 @@ def docs(spark):
         (11, words(30_000, 7), "de", "c", 9), (12, "x" * 20_000, None, None, None), (13, words(200, 8), "fr", "a", 4), (13, words(200, 8), "fr", "a", 4), (None, words(60, 9), "en", "a", 2), (-5, own, None, "a", 2),
         (14, 'key: token = "0123456789abcdef0123456789abcdef01234567" ÀÉ ' + words(60, 10), "en", "z", 1), (15, "!!! ... 123", "en", "z", 1), (16, "spam spam " * 60, "en", "z", 1),
     ]
-    return spark.createDataFrame([(*r, 7, 8, "h", 9) for r in rows], f"{SCHEMA}, n_words long, size long, host string, shard int").repartition(3)
+    more = {"n_words": 7, "size": 8, "host": "h", "shard": 9, "_id": 1, "_size": 2, "_src": "s", "_first": 3, "_shape": "t", "_rejected": "x", "_gone": 4, "gone": 5, "rejected": "y", "first": 6, "shape": 7, "own_id": 8, "place": 9, "best": 1, "node": 2, "a": 3, "b": 4, "lang_pred": "z"}
+    kinds = ", ".join(f"{k} {'string' if isinstance(v, str) else 'long'}" for k, v in more.items())
+    return spark.createDataFrame([(*r, *more.values()) for r in rows], f"{SCHEMA}, {kinds}").repartition(3)
 
 
 @pytest.fixture(scope="session")

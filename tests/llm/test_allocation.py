@@ -41,8 +41,58 @@ def test_shards_near_equal_with_a_hot_source(spark):
     assert sharding.shard(df, target_bytes=200_000).select("shard").distinct().count() == -(-sum(sums) // 200_000)
     again = sharding.shard(df.repartition(5), 24).select("doc_id", "shard", "slot")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, sharding.shard(df, 24).select("doc_id", "shard", "slot").collect()))
-    with pytest.raises(ValueError):
-        sharding.shard(df, sharding.MAX_SHARDS + 1)
+
+
+def plain_tree(rows, shards, first=0):
+    """{row: shard} of (row, size, keys): by recursion, each split at the weighted median of the widest dimension."""
+    if shards == 1 or not rows:
+        return {r[0]: first for r in rows}
+    width = lambda d: (max(r[2][d] for r in rows) >> sharding.TIE) - (min(r[2][d] for r in rows) >> sharding.TIE)
+    dim = max(range(3), key=lambda d: (width(d), -d))
+    whole = sum(r[1] for r in rows)
+    goal, under = whole * (shards // 2) / shards, 0
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[2][dim] >> sharding.ROW].append(r)
+    order = [groups[k] for k in sorted(groups)]
+    parts = []
+    for g in order:
+        # equal texts of too many bytes are split row by row, others are never
+        if sum(r[1] for r in g) > sharding.WHOLE_GROUP * whole / shards and len({r[2][dim] for r in g}) > 1:
+            by = defaultdict(list)
+            for r in g:
+                by[r[2][dim]].append(r)
+            parts.append([by[k] for k in sorted(by)])
+        else:
+            parts.append([g])
+    flat = [x for p in parts for x in p]
+    low = 0
+    for k, x in enumerate(flat):
+        n = sum(r[1] for r in x)
+        if under + n >= goal or k == len(flat) - 1:
+            low = k + (goal - under > n / 2)
+            break
+        under += n
+    below, above = ([r for x in xs for r in x] for xs in (flat[:low], flat[low:]))
+    return plain_tree(below, shards // 2, first) | plain_tree(above, shards - shards // 2, first + shards // 2)
+
+
+@pytest.mark.parametrize(("most", "shards"), [(1024, 24), (4, 24), (2, 40)])
+def test_shards_equal_the_plain_tree(spark, table, monkeypatch, most, shards):
+    """In one tree, and in groups that are sharded on."""
+    monkeypatch.setattr(sharding, "MOST", most)
+    at, rows = table
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    keyed = [(r["doc_id"], r["size"], (r["k0"], r["k1"], r["k2"])) for r in sharding._keyed(docs).collect()]
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, shards).collect()}
+    assert got == plain_tree(keyed, shards)
+    texts = defaultdict(set)
+    sums = defaultdict(int)
+    for i, t, *_ in rows:
+        texts[t or ""].add(got[i])
+        sums[t or ""] += len((t or "").encode()) + 8
+    whole = sum(sums.values())
+    assert all(len(x) == 1 for t, x in texts.items() if sums[t] < sharding.WHOLE_GROUP * whole / shards / 2)
 
 
 def test_shard_edges(docs, empty):

@@ -69,7 +69,19 @@ def test_packing_stage(stages):
 
 
 def test_run_and_edges(spark, docs, empty, stages, tmp_path):
+    """run() gives what the stages give; of a table of edges each document that is kept is packed whole, as often as it is taken."""
     assert sorted(map(tuple, corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect())) == sorted(map(tuple, stages[5].collect()))
-    for df in (docs, empty):
-        df.write.parquet(str(tmp_path / f"{df.count()}" / "documents.parquet"))
-        assert corpus_pipeline.run(spark, str(tmp_path / f"{df.count()}")).count() >= 0
+    docs.write.parquet(str(tmp_path / "some" / "documents.parquet"))
+    out = [spark.read.parquet(str(tmp_path / "some" / "documents.parquet"))]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(settle(stage(spark, out[-1], str(tmp_path / "some")), name.replace(" ", "_")))
+        assert out[-1].columns == docs.columns or name == "packing"
+    ids = [sorted({r["doc_id"] for r in x.select("doc_id").collect()}, key=lambda i: (i is None, i or 0)) for x in out]
+    assert ids[1] == [-5, 1, 2, 3, 9, 10, 11, 13, 14, None]  # too short or repetitive ones go
+    assert ids[2] == ids[3] == [-5, 9, 10, 11, 13, 14, None]
+    assert set(ids[4]) <= set(ids[3])
+    assert check_packs(out[5].collect(), [(r["doc_id"], r["text"]) for r in out[4].collect()]) > 0
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path / "some")).select("doc_id", "length").collect()), key=str) == sorted(map(tuple, out[5].select("doc_id", "length").collect()), key=str)
+    empty.write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    none = corpus_pipeline.run(spark, str(tmp_path / "none"))
+    assert none.count() == 0 and none.columns == out[5].columns

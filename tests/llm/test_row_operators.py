@@ -8,7 +8,8 @@ import random
 import re
 import string
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from functools import cache
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,72 @@ def test_keys_next_to_words_and_of_one_case():
     assert not spans("client_credentials_for_production/authorization_header") and not spans("internationalizationframework")
 
 
+ALPHABETS = {
+    "alnum": string.ascii_letters + string.digits, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "lower and digits": string.ascii_lowercase + string.digits,
+    "upper and digits": string.ascii_uppercase + string.digits, "base64": string.ascii_letters + string.digits + "+/", "marks": string.ascii_letters + string.digits + "!#$@%",
+}
+ORDINARY = """0123456789abcdef0123456789abcdef 123e4567-e89b-12d3-a456-426614174000 getUserAccountSettingsById some_long_identifier_name_2 99999999999999999999999 ANEXTREMELYLOUDWORDINCAPS
+    internationalization/2024-11-26/report_v2_final github/workflows/build-x86_64-linux-gnu-2024a client_credentials_for_production/authorization_header internationalizationframework
+    https://www.example.com/path/to/page.html?id=12&name=Foo#top user.name@example.org v1.2.3-beta.4+build.567 HTTPSConnectionPool spark.sql.adaptive.enabled
+    /usr/local/lib/python3.13/site-packages/numpy 2024-11-26T13:31:40Z MAX_BUFFER_SIZE_BYTES AbstractSingletonProxyFactoryBean x86_64-unknown-linux-gnu"""
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_planted_keys_are_found_whole(name):
+    """Random keys of 16 to 64 characters, letters alone of 20 and more: recall 0.9 for each length, and nothing else in the text."""
+    enc = secret_scan.encoder(tokenizer_path("byte_bpe_50k.tiktoken"))
+    pick = random.Random(len(name))
+    ordinary = ORDINARY.split()
+    for length in (16, 20, 24, 32, 48, 64):
+        if length < secret_scan.LETTERS and ALPHABETS[name].isalpha():
+            continue
+        hits = 0
+        for _ in range(100):
+            key = "".join(pick.choice(ALPHABETS[name]) for _ in range(length))
+            before = " ".join(pick.sample(ordinary, 3)) + " "
+            found = secret_scan.random_spans(f"{before}{key} {pick.choice(ordinary)}.", lambda x: len(enc.encode_ordinary(x)))
+            hits += any(a <= len(before) and b >= len(before) + length for a, b, _ in found)
+            assert all(a < len(before) + length and len(before) < b for a, b, _ in found), found
+        assert hits >= 90, (length, hits)
+
+
+def plain_random(text, count):
+    """The spans of the method by whole runs and their parts between marks: what the query must have at least."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        for part in re.finditer(r"[A-Za-z0-9]{16,}", m[0]):
+            x = part[0]
+            if x.isdigit() or x.isalpha() or re.fullmatch(r"[0-9a-fA-F]+", x) and len(x) in (32, 40, 56, 64, 96, 128):
+                continue
+            words = [w.lower() for w in re.findall("[A-Z]?[a-z]+|[A-Z]+", x)]
+            if len(x) <= 2.2 * count(x) and not all(len(w) > 2 * count(w) for w in words):
+                out.append((m.start() + part.start(), m.start() + part.end()))
+    return out
+
+
+def test_random_spans_of_a_table(spark, table):
+    """The query's spans are the base spans and those of the method, text by text, keys planted in every tenth included; the plain version, with another library's tokens, finds no others."""
+    from tokenizers import Tokenizer
+
+    pick = random.Random(3)
+    own = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    enc = secret_scan.encoder(tokenizer_path("byte_bpe_50k.tiktoken"))
+    key = lambda: "".join(pick.choice(string.ascii_letters + string.digits) for _ in range(pick.randrange(20, 64)))
+    rows = [(i, (t or "") + (f" use {key()} now" if i % 10 == 0 else "")) for i, t, *_ in table[1]]
+    got = {r["doc_id"]: r for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    planted = 0
+    for i, text in rows:
+        spans = [tuple(x.split(":")) for x in got[i]["spans"].split(",") if x]
+        random_ = [(int(a), int(b)) for k, a, b in spans if k == "random"]
+        assert random_ == [(a, b) for a, b, _ in secret_scan.random_spans(text, lambda x: len(enc.encode_ordinary(x)))]
+        assert [f"{k}:{a}:{b}" for k, a, b in spans if k != "random"] == [x[2] for x in plain_spans(text)]
+        assert got[i]["n_random"] == len(random_)
+        for a, b in plain_random(text, lambda x: len(own.encode(x).ids)):
+            assert any(x <= a and b <= y for x, y in random_), text[a:b]
+        planted += i % 10 == 0 and any(b == len(text) - 4 for _, b in random_)
+    assert planted >= 0.95 * sum(i % 10 == 0 for i, _ in rows)
+
+
 def test_scan_query(spark, table):
     at, rows = table
     got = {r["doc_id"]: r for r in secret_scan.op1_secret_scan(spark, at).collect()}
@@ -122,8 +189,53 @@ def test_quality_edges(docs, empty):
     assert kept.columns == docs.columns and kept.where("doc_id = 1").first()["host"] == "h"
 
 
-def test_languages(spark, table):
+def plain_languages(rows, learn):
+    """{doc_id: (language, posterior)} of plain naive Bayes over hashed 1- to 3-grams of lower-cased texts between spaces."""
+
+    def grams(text):
+        padded = [ord(c) for c in f" {text.lower()} "]
+        out = Counter()
+        for at in range(len(padded)):
+            h = 0
+            for k in range(3):
+                h = (h ^ (padded[at + k] if at + k < len(padded) else 32)) * 0x9E3779B97F4A7C15 % (1 << 64)
+                h ^= h >> 29
+                out[h % langid.BUCKETS] += 1
+        return out
+
+    counts, texts = defaultdict(Counter), Counter()
+    for i, t, lang in rows:
+        if learn(i) and t is not None and lang is not None:
+            counts[lang].update(grams(t))
+            texts[lang] += 1
+    sums = {x: c.total() + langid.SMOOTH * langid.BUCKETS for x, c in counts.items()}
+    out = {}
+    for i, t, _ in rows:
+        if t is None or not any(c.isalpha() for c in t):
+            out[i] = ("und", 0.0)
+            continue
+        own = grams(t)
+        logs = {x: math.log(texts[x] / texts.total()) + sum(n * math.log((counts[x][g] + langid.SMOOTH) / sums[x]) for g, n in own.items()) for x in sorted(counts)}
+        best = max(logs, key=logs.get)
+        out[i] = (best, 1 / sum(math.exp(v - logs[best]) for v in logs.values()))
+    return out
+
+
+@pytest.mark.parametrize("most", [langid.MAX_LANGS, 1, 3])
+def test_languages_equal_plain_naive_bayes(spark, table, most):
+    """The query's model on a table, by matrices of few languages too."""
     at, rows = table
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    learn = lambda i: zlib.crc32(str(i).encode()) % 4 != 2
+    want = plain_languages([(i, t, lang) for i, t, lang, _ in rows], learn)
+    model = langid.train(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    for r in langid.predict(docs, model, ["doc_id"], most).collect():
+        assert r["lang_pred"] == want[r["doc_id"]][0] and r["score"] == pytest.approx(want[r["doc_id"]][1], abs=1e-3)
+    if most == langid.MAX_LANGS:
+        assert {r["doc_id"]: r["lang_pred"] for r in langid.op7_language(spark, at).collect()} == {i: x for i, (x, _) in want.items()}
+
+
+def test_languages(spark):
     got = {r["doc_id"]: r for r in langid.op7_language(spark, "/root/testdata/sf0.01").collect()}
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
     held = [i for i in got if got[i]["held_out"]]
@@ -134,12 +246,12 @@ def test_languages(spark, table):
 
 
 def test_language_edges(docs, empty):
-    langs, logs = langid.train(docs)
-    assert langs == ["de", "en", "fr"]
-    got = {r["doc_id"]: r for r in langid.predict(docs, langs, logs, ["doc_id"]).collect()}
-    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (4, 5, 6, 15)) and got[1]["lang_pred"] in langs
-    langs, logs = langid.train(empty)
-    assert langs == [] and langid.predict(docs, langs, logs, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
+    model = langid.train(docs)
+    assert [x for x, _ in model.langs] == ["de", "en", "fr"]
+    got = {r["doc_id"]: r for r in langid.predict(docs, model, ["doc_id"]).collect()}
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (4, 5, 6, 15)) and got[1]["lang_pred"] in ("de", "en", "fr")
+    model = langid.train(empty)
+    assert model.langs == [] and langid.predict(docs, model, ["doc_id"]).where("lang_pred <> 'und' OR score <> 0").count() == 0
 
 
 @pytest.mark.parametrize("head", [lattice.HEAD, 50, 0])
@@ -158,6 +270,29 @@ def test_lattice_scores(spark, table, head):
         assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(own), sum(counts[w] > 0 for w in own), n)
         assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own), rel=1e-9)
         assert got[i]["score"] < 0
+    if head != lattice.HEAD:
+        return
+    # the query's score by a plain recursion over each word's segmentations, with the pieces' probabilities that the same counts give
+    vocabulary = lattice._pieces(None)
+    frame = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items()], "word binary, n long")
+    logs, stop = lattice.fit(frame, vocabulary, None, counts[b""])
+    most = max(map(len, vocabulary.pieces))
+
+    @cache
+    def log10(word):
+        word = b" " + word
+        ways = [1.0] + [0.0] * len(word)
+        scale = 0.0
+        for end in range(1, len(word) + 1):
+            ways[end] = sum(ways[k] * math.exp(logs[vocabulary.at[word[k:end]]]) for k in range(max(0, end - most), end) if word[k:end] in vocabulary.at)
+            if 0 < ways[end] < 1e-200:
+                ways, scale = [x * 1e200 for x in ways], scale - 200
+        return math.log10(ways[-1]) + scale
+
+    for i, t, *_ in rows:
+        own = (t or "").encode().lower().split()
+        if len(own) < 400:
+            assert got[i]["score"] == pytest.approx(sum(map(log10, own)) + stop / math.log(10), rel=1e-6), i
 
 
 def test_lattice_sums_all_segmentations():
