@@ -4,6 +4,15 @@ Each stage reads what the one before wrote; all but the last give the columns of
 ``documents``.  Rejected documents go in the first two stages, secrets are
 replaced in the third, the fourth takes documents (or blocks of them) once, more
 often or not at all, and the last packs what it took into sequences.
+
+Nulls: a null or empty text fails the quality rules, so no later stage of ``run``
+sees one, though each stage takes them; nulls in other columns are carried, and a null
+source is a host and a source of its own.  A very long text is measured, compared,
+scanned, cut and packed whole.  Of equal or similar documents the smallest doc_id
+stays, of rows with the same doc_id the one with the first text, and rows with a null
+doc_id all stay.  Repeated rows are one document.  An empty table gives no sequences.
+Columns beside those of ``documents`` are carried up to the last stage, whatever
+their names.
 """
 
 from __future__ import annotations

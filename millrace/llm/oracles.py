@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from .host_rules import BASE, LEAST_PRIOR, LIMIT, RULES
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: The rules, the limit and the least prior in SQL's own words, so that a change of the operator's shows.
+RULES = {
+    "short": "n_words < 50",
+    "repeating": "n_repeat_words * 100 > n_words * 50",
+    "symbolic": "n_symbols * 10 > n_words",
+    "same_lines": "n_dup_lines * 3 > n_lines",
+    "odd_words": "n_words >= 1 AND NOT (word_chars BETWEEN 2 * n_words AND 12 * n_words)",
+}
+LIMIT, LEAST_PRIOR = 0.5, 5.0
+
+
 def host_rules_sql() -> str:
     failures = ", ".join(f"CAST(sum(CAST(({rule}) AS INTEGER)) AS DOUBLE) AS {name}" for name, rule in RULES.items())
     moments = ", ".join(f"avg({name} / host_docs) AS {name}_mean, var_pop({name} / host_docs) AS {name}_var" for name in RULES)
     strength = "greatest({0}_mean * (1 - {0}_mean) / greatest({0}_var - {0}_mean * (1 - {0}_mean) * noise, 1e-6::DOUBLE) - 1, {1}::DOUBLE)"
     rate = "greatest(" + ", ".join(f"({n} + {n}_mean * {strength.format(n, LEAST_PRIOR)}) / (host_docs + {strength.format(n, LEAST_PRIOR)})" for n in RULES) + ")"
-    base = " OR ".join(f"({RULES[r]})" for r in BASE)
+    base = f"({RULES['short']}) OR ({RULES['repeating']})"
     return rf"""
     WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
     pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) > 2),
