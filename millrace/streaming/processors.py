@@ -75,18 +75,59 @@ class MachineProcessor(StatefulProcessor):
         pass
 
 
-def with_state(events: DataFrame, name: str, make: Callable[[dict | None], Machine] | None = None, delay_ms: int = V.OUT_OF_ORDER) -> DataFrame:
+class Entries:
+    """A machine's state as a map in the state store: an event changes its own entry only."""
+
+    def __init__(self, entries) -> None:
+        self.entries = entries
+
+    def __setitem__(self, key: str, value: list) -> None:
+        self.entries.updateValue((key,), tuple(value))
+
+    def pop(self, key: str, default=None):
+        if not self.entries.containsKey((key,)):
+            return default
+        value = self.entries.getValue((key,))
+        self.entries.removeKey((key,))
+        return list(value)
+
+
+class MapProcessor(MachineProcessor):
+    """Runs a machine whose state is (time, received) by name; entries go ``keep_ms`` after they were last written, if that is given."""
+
+    def __init__(self, make: Callable[[dict | None], Machine], keep_ms: int | None = None) -> None:
+        super().__init__(make)
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.entries = Entries(handle.getMapState("entries", "name string", "ts long, received long", self.keep_ms))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        machine = self.make(self.entries)
+        for r in sorted(rows, key=lambda r: (r["seq"] is None, r["seq"])):
+            for row in machine.on_event(r.asDict(), -1):
+                yield Row(**{k: row[k] for k in NAMES})
+
+
+#: Machines whose state grows with the names that are open.
+MAPPED = ("lead_time",)
+
+
+def with_state(events: DataFrame, name: str, make: Callable[[dict | None], Machine] | None = None, delay_ms: int = V.OUT_OF_ORDER, keep_ms: int | None = None) -> DataFrame:
     """The rows of a machine of MACHINES (or of ``make``) over a stream of events.
 
     Only what machines read goes to Python.  Timed machines need the watermark and
     all late events, but Spark drops rows behind the watermark: so an event has no
     time, and is never late, and rows of their own, which do nothing else, move the
-    watermark.
+    watermark.  ``keep_ms`` lets the builds of commits that are never deployed go.
     """
+    mapped = make is None and name in MAPPED
     make = make or MACHINES[name]
     machine = make(None)
     own = events.where(F.col("event_type").isin(*machine.types)) if machine.types else events
     own = own.select(*[c for c in NEEDED if c in events.columns])
+    if mapped:
+        return own.groupBy("pipeline_id").transformWithState(MapProcessor(make, keep_ms), OUT, "Append", "ProcessingTime" if keep_ms else "None")
     if not machine.timed:
         return own.groupBy("pipeline_id").transformWithState(MachineProcessor(make), OUT, "Append", "None")
     rows = with_heartbeats(own, events, machine.types).withWatermark("at", f"{delay_ms} milliseconds")

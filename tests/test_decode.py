@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from millrace.functions import vocabulary as V
 from millrace.operators import route
@@ -88,3 +88,41 @@ def test_events_between_the_steps_do_not_matter(spark, tmp_path):
             events = readers.json_lines(spark, path)
             assert patterns.matches(events, p).count() == 1
         assert patterns.matches(readers.from_rows(spark, []), p).count() == 0
+
+
+def corpus(zone="Z"):
+    """Grouped messages: nine builds of a service 35 minutes before seven good and two failed deployments, an incident of 47 minutes, three deployments of another service after 20, and a late pair 2 apart."""
+    start = datetime(2026, 7, 6, 9, tzinfo=UTC)
+
+    def pair(pipeline, sha, day, minutes, end):
+        at = start + timedelta(days=day)
+        return [generate.message(t, at + timedelta(minutes=m), pipeline, "main", sha, day, k) for k, (t, m) in enumerate((("BUILD_STARTED", 0), (end, minutes)))]
+
+    groups = {
+        "history": sum((pair("kiln", f"k{i}", i % 4, 35, "DEPLOY_FAILED" if i in (3, 6) else "DEPLOY_SUCCESS") for i in range(1, 10)), []),
+        "incident": [generate.message(t, start + timedelta(minutes=m), "kiln", "main", "k", 0, m) for t, m in (("BUILD_FAILED", 100), ("BUILD_SUCCESS", 147))],
+        "other": sum((pair("loom", f"l{i}", i, 20, "DEPLOY_SUCCESS") for i in range(3)), []),
+        "trigger": pair("anvil", "a", 8, 0, "DEPLOY_SUCCESS")[:1],
+        "verification": pair("anvil", "b", 8, 2, "DEPLOY_SUCCESS"),
+    }
+    for m in sum(groups.values(), []):
+        m["event"]["event_timestamp"] = m["event"]["event_timestamp"].removesuffix("Z") + zone
+    return json.dumps(groups)
+
+
+def test_sample_corpus(spark, tmp_path):
+    """Eleven lead times, one recovery, no pattern; without a zone, times are those of arrival."""
+    from pyspark.sql import functions as F
+
+    from millrace.operators import dora, patterns
+
+    (tmp_path / "with.json").write_text(corpus())
+    (tmp_path / "without.json").write_text(corpus(""))
+    events = readers.grouped_json(spark, str(tmp_path / "with.json"))
+    assert sorted(r["value"] for r in dora.lead_time(events).collect()) == [2.0] + [20.0] * 3 + [35.0] * 7
+    assert [(r["value"], r["performance_band"]) for r in dora.recovery_time(events).collect()] == [(47.0, "Elite")]
+    assert all(patterns.matches(events, p).count() == 0 for p in patterns.PATTERNS)
+    rates = {(r["pipeline_id"], r["window_start_ms"] // V.DAY): (r["value"], r["sample_count"]) for r in dora.change_failure_rate(events).collect()}
+    assert sum(n for _, n in rates.values()) == 13 and sum(v * n / 100 for v, n in rates.values()) == 2
+    events = readers.grouped_json(spark, str(tmp_path / "without.json"), F.lit(NOW).cast("long"))
+    assert {r["ts"] for r in events.collect()} == {NOW} and {r["value"] for r in dora.lead_time(events).collect()} == {0.0}

@@ -57,6 +57,13 @@ def test_pairs_equal_batch(spark, tmp_path):
         assert sorted(map(key, got)) == sorted(map(key, want)) and want
 
 
+def test_open_builds_go_in_time(spark, tmp_path):
+    """A build that waits longer than its entry is kept has no lead time."""
+    df = stream(spark, tmp_path / "in", [[event("BUILD_STARTED", 0, sha="a")], [event("DEPLOY_SUCCESS", MIN, sha="a")]])
+    assert [r["value"] for r in ran(processors.with_state(df, "lead_time", keep_ms=3_600_000), tmp_path, "kept")] == [1.0]
+    assert ran(processors.with_state(df, "lead_time", keep_ms=1), tmp_path, "gone") == []
+
+
 def test_late_windows_fire_again_and_audit(spark, tmp_path):
     day = BASE - BASE % V.DAY
     make = lambda s=None: M.LateWindows(M.Deployments(), s)
