@@ -6,14 +6,18 @@ smallest doc_id that links reach.  The result is exact:
 
 1.  Equal sets are found by their digests, and only the smallest doc_id of a set
     goes on.
-2.  Linked sets of a size differ by so many shingles at most.  The hash space is
-    dealt into a few more parts than that, so at least one part of two linked sets
-    is the same: the digests of a set's parts, with its class of sizes, are its
-    keys, and documents that share a key are candidates.  A part holds several
-    shingles, so unlike documents that share a passage or a line, however long or
-    frequent, have no key in common.  Small sets, whose parts would often be empty,
-    have the combinations of RUN of their first shingles by hash as keys.  The
-    components of the candidates are the blocks, and all links are within blocks.
+2.  Documents that share a key are candidates, and linked sets share one at least.
+    Where a link asks for so much that the keys' parts hold HELD shingles and more,
+    keys are equal parts: linked sets of a size differ by so many shingles at most, the
+    hash space is dealt into a few more parts than that, and the digests of a set's
+    parts, with its class of sizes, are its keys.  Unlike documents that share a passage
+    or a line, however long or frequent, have no such key in common.  Small sets, whose
+    parts would often be empty, have the combinations of RUN of their first shingles
+    by hash.  For lower links, whose parts would hold too little, keys are the first
+    shingles, as many as a linked set may lack and one, in an order of rare before
+    frequent by a sketch of how many sets hold them; passages that many documents share
+    come late in it.  The components of the candidates are the blocks, and all links
+    are within blocks.
 3.  In a block, the sets of each key are a signature tree: its nodes hold OR- and
     AND-combined bitmaps of their sets and their range of sizes.  Node pairs are
     traversed together and pruned when the largest overlap that bitmaps and sizes
@@ -32,10 +36,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from functools import cache
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,6 +57,12 @@ LEAF, FAN = 8, 4
 #: Sets that may lack so many shingles at most have combinations of RUN of their first shingles as keys.
 FEW = 4
 RUN = 4
+#: Shingles that the parts of a set hold on average, for keys to be parts.
+HELD = 6
+#: Cells of the sketch of frequencies, the slices it is summed in, and the tasks' slices that are summed at once.
+CELL_BITS = 23
+SLICES = 64
+SUMMED, LEVELS = 64, 3
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
@@ -112,8 +124,32 @@ def choices(n: int, run: int) -> np.ndarray:
     return np.array(list(combinations(range(n), run)), np.int64)
 
 
-def keys(own: np.ndarray, part: int = PART, whole: int = WHOLE) -> np.ndarray:
-    """The keys of a set: of any two linked sets, at least one is shared."""
+def held(part: int, whole: int) -> float:
+    """Shingles in a part of a set, if there are as many parts as linked sets differ by shingles."""
+    return (whole + part) / (2 * max(whole - part, 1e-9))
+
+
+def first_keys(own: np.ndarray, steps: np.ndarray, part: int, whole: int) -> np.ndarray:
+    """The first shingles of a set by their frequency, each with the set's class of sizes and with the next."""
+    n = len(own)
+    if not n:
+        return own
+    first = n - -(-n * part // whole) + 1
+    rank = (steps[cells(own)].astype(np.uint64) << np.uint64(58)) | (own >> np.uint64(6))
+    kept = own[np.argpartition(rank, first - 1)[:first]]
+    c = size_class(n, part, whole)
+    return np.concatenate([scrambled(kept ^ np.uint64(int(K[2]) * (c + k) % (1 << 64))) for k in (1, 2)])
+
+
+def cells(own: np.ndarray) -> np.ndarray:
+    """Where shingles are counted in the sketch."""
+    return (own * K[1] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def keys(own: np.ndarray, part: int = PART, whole: int = WHOLE, steps: np.ndarray | None = None) -> np.ndarray:
+    """The keys of a set: of any two linked sets, at least one is shared. With the sketch's ``steps``, its first shingles; else its parts."""
+    if steps is not None:
+        return first_keys(own, steps, part, whole)
     n = len(own)
     if not n:
         return own
@@ -153,12 +189,56 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary", binary=("text",))
 
 
-def key_rows(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+def frequency_steps(docs: DataFrame, words: int) -> np.ndarray:
+    """For each cell of the sketch, twice the logarithm of how many sets hold its shingles: a byte each, whatever the input.
+
+    A task counts up to 255 in a cell, and gives its counts in compressed slices; SUMMED
+    tasks' slices are added at once, and then as many sums, LEVELS times.
+    """
+    size = (1 << CELL_BITS) // SLICES
+
+    def make():
+        from pyspark import TaskContext
+
+        counts = np.zeros(1 << CELL_BITS, np.uint8)
+
+        def rows(cols):
+            for t in cols["text"]:
+                at = cells(shingles(t, words))
+                counts[at] += counts[at] < 255
+            return {"slice": [], "task": [], "counts": []}
+
+        def close():
+            made = [zlib.compress(x.astype(np.uint32).tobytes(), 1) for x in np.split(counts, SLICES)]
+            return {"slice": list(range(SLICES)), "task": [TaskContext.get().partitionId()] * SLICES, "counts": made}
+
+        rows.close = close
+        return rows
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.uint64)
+        for c in table["counts"]:
+            total += np.frombuffer(zlib.decompress(c.as_py()), np.uint32)
+        whole = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
+        return pa.table({"slice": table["slice"][:1], "task": table["task"][:1], "counts": pa.array([zlib.compress(whole.tobytes(), 1)], pa.binary())})
+
+    schema = "slice int, task int, counts binary"
+    now = map_rows(docs.select("text"), make, schema, binary=("text",))
+    for _ in range(LEVELS):
+        now = now.withColumn("task", F.expr(f"CAST(task DIV {SUMMED} AS INT)")).groupBy("slice", "task").applyInArrow(add, schema)
+    total = np.zeros(1 << CELL_BITS, np.uint64)
+    for r in now.collect():  # a row for each slice, and more only beyond SUMMED ** LEVELS tasks
+        total[r["slice"] * size : (r["slice"] + 1) * size] += np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+    return np.minimum(2 * np.log2(np.maximum(total, 1)), 63).astype(np.uint8)
+
+
+def key_rows(docs: DataFrame, words: int, part: int, whole: int, steps) -> DataFrame:
     """(key, node): the keys of each set, once in a task, with the first doc_id that has it.
 
     What shares a key within a batch is linked there: the key's first node stands
     for the others, and each of them has a key with it alone.  So a key that any
-    number of documents hold has a row for each batch at most.
+    number of documents hold has a row for each batch at most.  ``steps``: the
+    broadcast sketch, or None.
     """
 
     def make():
@@ -175,7 +255,7 @@ def key_rows(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
                 if len(seen) > 1_000_000:  # forgetting only gives some keys again
                     seen.clear()
                 seen.add(of)
-                key.append(keys(own, part, whole))
+                key.append(keys(own, part, whole, steps and steps.value))
                 node.append(np.full(len(key[-1]), i, np.int64))
             key, node = np.concatenate(key), np.concatenate(node)
             order = np.argsort(key, kind="stable")
@@ -277,7 +357,7 @@ class Tree:
                 todo += [(x, v) for x in u["below"]]
 
 
-def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE) -> list[tuple[int, int]]:
+def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = None, part: int = PART, whole: int = WHOLE, steps: np.ndarray | None = None) -> list[tuple[int, int]]:
     """(doc_id, smallest doc_id it is connected to) of sets: all links among them or, with two chunks, those between them.
 
     Linked sets share a key, so each key's sets are a tree; what an earlier key has
@@ -296,7 +376,7 @@ def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = No
         at = first.setdefault(s.tobytes(), i)
         tree.parent[i] = at
         if at == i or side[at] != side[i]:
-            for k in keys(s, part, whole).tolist():
+            for k in keys(s, part, whole, steps).tolist():
                 by.setdefault(k, []).append(i)
     for own in sorted((x for x in by.values() if len(x) > 1), key=len, reverse=True):
         root = tree.find(own[0])
@@ -310,7 +390,7 @@ def linked(ids: list[int], sets: list[np.ndarray], chunks: list[int] | None = No
     return [(ids[i], ids[r]) for i in range(len(ids)) if (r := tree.find(i)) != i]
 
 
-def verified(texts: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+def verified(texts: DataFrame, words: int, part: int, whole: int, steps) -> DataFrame:
     """(a, b): the links within each (root, low, high) of rows that lie sorted by it."""
 
     def make():
@@ -319,7 +399,7 @@ def verified(texts: DataFrame, words: int, part: int, whole: int) -> DataFrame:
         def flush(out):
             held = state["sets"]
             if len(held) > 1:
-                links = linked([i for i, _ in held], [x for x, _ in held.values()], [c for _, c in held.values()], part, whole)
+                links = linked([i for i, _ in held], [x for x, _ in held.values()], [c for _, c in held.values()], part, whole, steps and steps.value)
                 out["a"] += [a for a, _ in links]
                 out["b"] += [b for _, b in links]
             state["sets"] = {}
@@ -352,13 +432,14 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     each distinct set and chunk pair; the widest shuffle beside them is the keys'.
     Every step that a later one reads twice is a written table.
     """
+    steps = None if held(part, whole) >= HELD else docs.sparkSession.sparkContext.broadcast(frequency_steps(docs, words))
     sets = settle(set_rows(docs, words), "sets")
     known = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     # written, so that the join is between plain shuffles, which adaptive execution can split
     smallest = settle(known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b"), "smallest")
     equal = settle(known.join(smallest, F.col("set_id") == F.col("own")).where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")), "equal")
     # batches have combined their rows, so a key has one for each batch at most
-    shared = key_rows(docs, words, part, whole).withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head")
+    shared = key_rows(docs, words, part, whole, steps).withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head")
     candidates = components(shared.select(F.col("node").alias("a"), F.col("head").alias("b")))
     sizes = sets.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("i")).agg(F.max("n_shingles").alias("n"))
     # of equal sets the smallest doc_id stands for all; documents with several texts stand for themselves as well
@@ -373,7 +454,7 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     dealt = dealt.select("root", "node", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     # the same join at every size: the candidates grow with the input, so they are never broadcast
     texts = docs.select("doc_id", "text").join(dealt.hint("merge"), F.col("doc_id") == F.col("node")).select("root", "low", "high", "chunk", "doc_id", "text")
-    near = verified(texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high"), words, part, whole)
+    near = verified(texts.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high"), words, part, whole, steps)
     found = components(near.union(equal))
     unsettle(blocks)
     joined = sets.join(found, F.col("doc_id") == F.col("node"), "left")

@@ -358,9 +358,11 @@ def test_join_near_the_threshold(spark, part, n, block):
     assert got == plain_components(plain_sets(rows, n), part)
 
 
+@pytest.mark.parametrize("ordered", [False, True])
 @pytest.mark.parametrize("part", [50, 80, 90, 95])
-def test_linked_sets_share_a_key(part):
+def test_linked_sets_share_a_key(part, ordered):
     pick = np.random.default_rng(part)
+    steps = pick.integers(0, 64, 1 << signature_tree.CELL_BITS).astype(np.uint8) if ordered else None
     for size in [*range(1, 60), 200, 700]:
         a = np.unique(pick.integers(0, 1 << 64, size, np.uint64))
         for gone in range(0, size + 1):
@@ -368,7 +370,15 @@ def test_linked_sets_share_a_key(part):
                 if 100 * (size - gone) < part * (size + new) or not gone + new:
                     continue
                 b = np.unique(np.concatenate([pick.permutation(a)[gone:], pick.integers(0, 1 << 64, new, np.uint64)]))
-                assert np.intersect1d(signature_tree.keys(a, part), signature_tree.keys(b, part)).size
+                assert np.intersect1d(signature_tree.keys(a, part, 100, steps), signature_tree.keys(b, part, 100, steps)).size
+
+
+def test_frequencies_are_summed_in_a_tree(spark, monkeypatch):
+    """However many tasks count and however few are summed at once."""
+    df = spark.createDataFrame([(i, f"common words here {i}") for i in range(200)], "doc_id long, text string")
+    one = signature_tree.frequency_steps(df.coalesce(1), 3)
+    monkeypatch.setattr(signature_tree, "SUMMED", 2)
+    assert (signature_tree.frequency_steps(df.repartition(9), 3) == one).all() and one.max() == int(2 * np.log2(200))
 
 
 def test_join_edges(docs, empty):
