@@ -46,6 +46,9 @@ REMEMBERED = 800_000
 #: Words whose lattices are summed together.
 TOGETHER = 60_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+SPREAD = np.uint64(0xD6E8FEB86659FD93)
+#: Slots of the table that pieces are looked up in, as a power of two.
+SLOT_BITS = 19
 
 
 class Pieces:
@@ -72,12 +75,39 @@ class Pieces:
         total = sum(weight.values())
         self.prior = np.array([weight[p] / total for p in self.pieces])
         self.longest = len(self.pieces[-1])
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in sorted({len(p) for p in self.pieces}):
+        self.sizes = sorted({len(p) for p in self.pieces})
+        self.hashes = np.empty(len(self.pieces), np.uint64)
+        for size in self.sizes:
             own = [i for i, p in enumerate(self.pieces) if len(p) == size]
-            h = hashed(np.array([list(self.pieces[i]) for i in own], np.uint8))[:, -1]
-            order = np.argsort(h)
-            self.tables[size] = h[order], np.array(own)[order]
+            self.hashes[own] = hashed(np.array([list(self.pieces[i]) for i in own], np.uint8))[:, -1]
+        self.bytes = np.array([self.at[bytes([b])] for b in range(256)])
+        # a piece lies in the slot of its hash in the first table where that is free: nearly all in the first, the rest in small ones
+        self.slots: list[tuple[np.ndarray, np.uint64]] = []
+        left, bits = np.arange(len(self.pieces)), SLOT_BITS
+        while len(left):
+            shift = np.uint64(64 - bits - 7 * len(self.slots))
+            table = np.full(1 << bits, -1, np.int32)
+            at = slot(self.hashes[left], shift, table)
+            table[at[::-1]] = left[::-1]
+            self.slots.append((table, shift))
+            left, bits = left[table[at] != left], SLOT_BITS - 6
+
+    def find(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, pieces) of the hashes that are those of pieces."""
+        found = []
+        for table, shift in self.slots:
+            piece = table[slot(s, shift, table)]
+            rows = np.flatnonzero(piece >= 0)
+            piece = piece[rows]
+            same = self.hashes[piece] == s[rows]
+            found.append((rows[same], piece[same]))
+        if len(found) == 1 or not any(len(rows) for rows, _ in found[1:]):
+            return found[0]
+        return np.concatenate([r for r, _ in found]), np.concatenate([p for _, p in found])
+
+
+def slot(h: np.ndarray, shift: np.uint64, table: np.ndarray) -> np.ndarray:
+    return (h * SPREAD >> shift & np.uint64(len(table) - 1)).astype(np.int64)
 
 
 def hashed(x: np.ndarray) -> np.ndarray:
@@ -101,20 +131,14 @@ def by_length(words: list[bytes]):
 
 
 def edges(vocabulary: Pieces, x: np.ndarray):
-    """(start, end, rows, pieces) for each pair of places, by end: where the bytes between are a piece."""
-    h = hashed(x)
-    power = [np.uint64(1)]
-    for _ in range(x.shape[1]):
-        power.append(np.uint64(int(power[-1]) * int(BASE) % (1 << 64)))
+    """(end, starts, rows, pieces) for each place: where the bytes before it, from a start on, are a piece of two or more."""
+    h = hashed(x).T
+    power = np.array([pow(int(BASE), k, 1 << 64) for k in range(x.shape[1] + 1)], np.uint64)
+    longer = np.array(vocabulary.sizes[1:])
     for end in range(1, x.shape[1] + 1):
-        for size, (table, which) in vocabulary.tables.items():
-            if size > end:
-                break
-            s = h[:, end] - h[:, end - size] * power[size]
-            at = np.minimum(np.searchsorted(table, s), len(table) - 1)
-            rows = np.flatnonzero(table[at] == s)
-            if len(rows):
-                yield end - size, end, rows, which[at[rows]]
+        start = end - longer[longer <= end]
+        at, pieces = vocabulary.find((h[end] - h[start] * power[end - start, None]).ravel())
+        yield end, start[at // len(x)], at % len(x), pieces
 
 
 def log_probabilities(vocabulary: Pieces, logs: np.ndarray, words: list[bytes], counts: np.ndarray | None = None, expected: np.ndarray | None = None) -> np.ndarray:
@@ -125,21 +149,30 @@ def log_probabilities(vocabulary: Pieces, logs: np.ndarray, words: list[bytes],
     out = np.zeros(len(words))
     for own, x in by_length(words):
         n = x.shape[1]
-        alpha = np.full((n + 1, len(x)), -np.inf)
-        alpha[0] = 0
+        byte = logs[vocabulary.bytes[x]].T  # the way by single bytes is always there, so sums are taken relative to it
+        alpha = np.zeros((n + 1, len(x)))
         kept = []
-        for start, end, rows, pieces in edges(vocabulary, x):
-            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + logs[pieces])
-            if counts is not None:
-                kept.append((start, end, rows, pieces))
+        for end, starts, rows, pieces in edges(vocabulary, x):
+            ref = alpha[end - 1] + byte[end - 1]
+            alpha[end] = ref + np.log1p(np.bincount(rows, np.exp(alpha[starts, rows] + logs[pieces] - ref[rows]), len(x)))
+            kept.append((starts, rows, pieces, np.full(len(rows), end)))
         out[own] = alpha[n]
         if counts is not None:
-            beta = np.full((n + 1, len(x)), -np.inf)
-            beta[n] = 0
-            for start, end, rows, pieces in reversed(kept):
-                on = logs[pieces] + beta[end, rows]
-                beta[start, rows] = np.logaddexp(beta[start, rows], on)
-                expected += np.bincount(pieces, np.exp(alpha[start, rows] + on - alpha[n, rows]) * counts[own[rows]], len(logs))
+            starts, rows, pieces, ends = (np.concatenate(v) for v in zip(*kept, strict=True))
+            order = np.argsort(starts, kind="stable")
+            rows, pieces, ends = rows[order], pieces[order], ends[order]
+            first = np.searchsorted(starts[order], np.arange(n + 1))
+            beta = np.zeros((n + 1, len(x)))
+            weight = counts[own]
+            used: list[tuple[np.ndarray, np.ndarray]] = []
+            for start in range(n - 1, -1, -1):
+                ref = byte[start] + beta[start + 1]
+                used.append((vocabulary.bytes[x[:, start]], np.exp(alpha[start] + ref - alpha[n]) * weight))
+                r, p, e = (v[first[start] : first[start + 1]] for v in (rows, pieces, ends))
+                on = logs[p] + beta[e, r]
+                beta[start] = ref + np.log1p(np.bincount(r, np.exp(on - ref[r]), len(x)))
+                used.append((p, np.exp(alpha[start, r] + on - alpha[n, r]) * weight[r]))
+            expected += np.bincount(*(np.concatenate(v) for v in zip(*used, strict=True)), len(logs))
     for i, w in enumerate(words):
         if len(w) > LONG:
             out[i] = _long(vocabulary, logs, b" " + w, None if counts is None else counts[i], expected)
