@@ -22,6 +22,7 @@ no rows; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import heapq
+import math
 import string
 import sys
 import zlib
@@ -93,13 +94,9 @@ class Words:
         if len(self.known) > WORDS:
             self.known.clear()
             self.marks.clear()
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        gaps = [i for i, x in enumerate(found) if None in x]
-        self.learn({w for i in gaps for w, x in zip(split[i], found[i], strict=True) if x is None})
-        for i in gaps:
-            found[i] = map(get, split[i])
-        return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(x) for t, x in zip(texts, found, strict=True)]
+        self.learn(set().union(*split).difference(self.known))
+        get = self.known.__getitem__
+        return [self.whole(t) if b"<|" in t and any(s in t.lower() for s in self.special) else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
     def learn(self, words: set[bytes]) -> None:
         """Ids of new words: letters, or letters with marks after them, by runs; others by the whole tokenizer."""
@@ -187,13 +184,16 @@ def differencing(lengths: list[int], windows: int) -> list[list[int]]:
 
 
 def windows(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Near-equal windows of at most ``capacity``, as few as differencing finds."""
-    n = -(-sum(lengths) // capacity)
+    """Near-equal windows of at most ``capacity``; their number rises while one is over it, by what its excess over the mean asks for, a sixty-fourth at most."""
+    total = sum(lengths)
+    n = -(-total // capacity)
     while n:
         found = differencing(lengths, n)
-        if all(sum(lengths[i] for i in own) <= capacity for own in found):
+        most = max(sum(lengths[i] for i in own) for own in found)
+        if most <= capacity:
             return [own for own in found if own]
-        n += 1
+        room = capacity - (most - total / n)
+        n = min(max(n + 1, math.ceil(total / room) if room > 0 else 0), n + max(1, n // 64))
     return []
 
 
