@@ -79,12 +79,15 @@ def shape(shards: list[tuple[int, int]], quota: int, block: int, seed: int, sour
     """(shard, blocks, full, extra, a, c) of a source's (shard, words): block b is taken ``full`` times, and once more if (a * b + c) mod blocks < extra."""
     blocks = [math.ceil(w / block) for _, w in shards]
     rows = []
-    for (k, _), n, q in zip(shards, blocks, sainte_lague([w for _, w in shards], quota, [times * n for n in blocks]), strict=True):
+    for (k, w), n, q in zip(shards, blocks, sainte_lague([w for _, w in shards], quota, [times * n for n in blocks]), strict=True):
         if n:
+            # the last block may be short, so whole rounds take fewer words than their blocks
+            full, rest = divmod(min(q * block, times * w), w)
+            extra = min(n, round(rest / block))
             a = _seeded(seed, source, k, "a") % n
             while math.gcd(a, n) != 1:
                 a = (a + 1) % n if n > 1 else 1
-            rows.append((k, n, q // n, q % n, a, _seeded(seed, source, k, "c") % n))
+            rows.append((k, n, full, extra, a, _seeded(seed, source, k, "c") % n))
     return rows
 
 

@@ -10,6 +10,7 @@ from test_allocation import check_packs, plain_targets
 from test_row_operators import plain_measure, plain_spans
 from test_text_matching import plain_components, plain_sets
 
+from millrace.llm import mixing
 from millrace.llm.common import settle
 
 
@@ -61,7 +62,7 @@ def test_mixing_stage(stages):
         took[r["source"]] += len(r["text"].encode().split())
     names = sorted(sums)
     goals = dict(zip(names, plain_targets([sums[s] for s in names]), strict=True))
-    assert dict(took) == pytest.approx(goals, rel=0.02)
+    assert dict(took) == pytest.approx(goals, rel=0.01, abs=1.5 * mixing.BLOCK)  # rounding, and a short last block
 
 
 def test_packing_stage(stages):
@@ -77,7 +78,7 @@ def test_run_and_edges(spark, docs, empty, stages, tmp_path):
         out.append(settle(stage(spark, out[-1], str(tmp_path / "some")), name.replace(" ", "_")))
         assert out[-1].columns == docs.columns or name == "packing"
     ids = [sorted({r["doc_id"] for r in x.select("doc_id").collect()}, key=lambda i: (i is None, i or 0)) for x in out]
-    assert ids[1] == [-5, 1, 2, 3, 9, 10, 11, 13, 14, None]  # too short or repetitive ones go
+    assert ids[1] == [-5, 1, 2, 9, 10, 11, 13, 14, None]  # too short or repetitive ones go, and those of the null source, of which two in three fail
     assert ids[2] == ids[3] == [-5, 9, 10, 11, 13, 14, None]
     assert set(ids[4]) <= set(ids[3])
     assert check_packs(out[5].collect(), [(r["doc_id"], r["text"]) for r in out[4].collect()]) > 0
