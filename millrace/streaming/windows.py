@@ -1,13 +1,12 @@
-"""Windowed metrics with Spark's own windows, a watermark report, and whole streaming jobs."""
+"""Windowed metrics with Spark's own windows, and a stream into a sink."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import vocabulary as V
 from ..functions.columns import is_terminal, metric_rows
@@ -48,30 +47,6 @@ def health(events: DataFrame, size: int = V.HEALTH_WINDOW, lateness: int = V.ALL
     return metric_rows(sums, V.HEALTH_SCORE, score(), samples=samples(), detail=detail(), keep=("seq",))
 
 
-class WatermarkReport(StreamingQueryListener):
-    """Gives a stream's watermark to ``report`` in epoch ms whenever it has moved."""
-
-    def __init__(self, report: Callable[[int], None]) -> None:
-        self.report, self.last = report, None
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        at = json.loads(event.progress.json).get("eventTime", {}).get("watermark")
-        if at and at != self.last and not at.startswith("1970"):
-            from datetime import datetime
-
-            self.last = at
-            self.report(int(datetime.fromisoformat(at.replace("Z", "+00:00")).timestamp() * 1000))
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-
 def job(rows: DataFrame, name: str, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> DataStreamWriter:
     """A stream into a foreachBatch sink; restarted, it goes on where its checkpoint ends."""
     return rows.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}").foreachBatch(sink)
