@@ -60,8 +60,20 @@ def test_pairs_equal_batch(spark, tmp_path):
 def test_open_builds_go_in_time(spark, tmp_path):
     """A build that waits longer than its entry is kept has no lead time."""
     df = stream(spark, tmp_path / "in", [[event("BUILD_STARTED", 0, sha="a")], [event("DEPLOY_SUCCESS", MIN, sha="a")]])
-    assert [r["value"] for r in ran(processors.with_state(df, "lead_time", keep_ms=3_600_000), tmp_path, "kept")] == [1.0]
-    assert ran(processors.with_state(df, "lead_time", keep_ms=1), tmp_path, "gone") == []
+
+    def values(name, keep_ms):
+        """Of the first two batches: by the clock, a stream goes on without events."""
+        found = []
+        rows = processors.with_state(df, "lead_time", keep_ms=keep_ms)
+        query = rows.writeStream.option("checkpointLocation", str(tmp_path / name)).foreachBatch(lambda b, i: found.extend((i, r["value"]) for r in [*b.collect(), {"value": None}])).start()
+        for _ in range(300):
+            if any(i >= 1 for i, _ in found):
+                break
+            time.sleep(0.2)
+        query.stop()
+        return [v for _, v in found if v is not None]
+
+    assert values("kept", 3_600_000) == [1.0] and values("gone", 1) == []
 
 
 def test_late_windows_fire_again_and_audit(spark, tmp_path):
