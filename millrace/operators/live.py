@@ -22,15 +22,16 @@ from .route import of_types
 from .runs import highest_before
 
 
-def accepted(events: DataFrame, size: int, gate: bool = False, delay: int = V.OUT_OF_ORDER) -> DataFrame:
-    """Events that their window still takes, with its end.
+def accepted(events: DataFrame, types: tuple[str, ...], size: int, gate: bool = False, delay: int = V.OUT_OF_ORDER) -> DataFrame:
+    """Events of ``types`` that their window still takes, with its end.
 
-    ``gate``: drop events whose window the watermark, modelled by order of arrival,
-    has passed.
+    ``gate``: drop events whose window the watermark, modelled by the order of arrival
+    of all events, of other types too, has passed.
     """
-    ended = events.withColumn("_end", window_start("ts", size) + size)
+    marked = arrival_watermark(events, delay) if gate else events
+    ended = of_types(marked, *types).withColumn("_end", window_start("ts", size) + size)
     if gate:
-        ended = arrival_watermark(ended, delay).where("watermark IS NULL OR watermark <= _end").drop("watermark")
+        ended = ended.where("watermark IS NULL OR watermark <= _end").drop("watermark")
     return highest_before(ended, ["pipeline_id"], "_end", "seq").where("_before IS NULL OR _end >= _before").drop("_before")
 
 
@@ -49,18 +50,18 @@ def _rows(own: DataFrame, metric_type: str, sums: dict[str, Callable], value: Co
 
 def live_deployments(events: DataFrame, size: int = V.DEPLOY_WINDOW, gate: bool = False) -> DataFrame:
     """(seq, closes_ms, METRIC): successful deployments so far; seq is null for resets."""
-    own = accepted(of_types(events, "DEPLOY_SUCCESS"), size, gate)
+    own = accepted(events, ("DEPLOY_SUCCESS",), size, gate)
     return _rows(own, V.DEPLOYMENT_FREQUENCY_LIVE, lambda over: {"n": over(F.count(F.lit(1)))}, F.col("n"), F.col("n"), None, False, 0.0)
 
 
 def live_failure_rate(events: DataFrame, size: int = V.FAILURE_WINDOW, gate: bool = False) -> DataFrame:
     """(seq, closes_ms, METRIC): percent of finished deployments so far that failed."""
-    own = accepted(of_types(events, "DEPLOY_SUCCESS", "DEPLOY_FAILED"), size, gate)
+    own = accepted(events, ("DEPLOY_SUCCESS", "DEPLOY_FAILED"), size, gate)
     sums = lambda over: {"n": over(F.count(F.lit(1))), "failed": over(F.sum(F.when(failed_deploy(), 1).otherwise(0)))}
     return _rows(own, V.CHANGE_FAILURE_RATE_LIVE, sums, F.col("failed") * F.lit(100.0) / F.col("n"), F.col("n"), None, False, 0.0)
 
 
 def live_health(events: DataFrame, size: int = V.HEALTH_WINDOW, gate: bool = False) -> DataFrame:
     """(seq, closes_ms, METRIC): the health score so far, a row for started events too."""
-    own = accepted(of_types(events, *V.HEALTH_TYPES), size, gate)
+    own = accepted(events, V.HEALTH_TYPES, size, gate)
     return _rows(own, V.HEALTH_SCORE_LIVE, stage_sums, score(), samples(), earliest, True, 100.0)

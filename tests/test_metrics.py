@@ -117,6 +117,13 @@ def test_live_counters(spark):
     assert rate(("DEPLOY_SUCCESS", 15), ("DEPLOY_FAILED", 5), ("DEPLOY_SUCCESS", 16)) == ([(0.0, 1), (0.0, 2)], 1)
 
 
+def test_live_gate_follows_all_events(spark):
+    """A build moves the watermark past the window of a deployment that comes after it."""
+    for between, n in (("DEPLOY_SUCCESS", 2), ("BUILD_STARTED", 1)):
+        e = frame(spark, event("DEPLOY_SUCCESS", 0), event(between, 15 * SEC + V.OUT_OF_ORDER), event("DEPLOY_SUCCESS", SEC))
+        assert len(increments(live.live_deployments(e, W, gate=True))[0]) == n
+
+
 def test_live_health(spark):
     own = lambda *e: increments(live.live_health(frame(spark, *[event(t, x * SEC) for t, x in e]), W))
     near = lambda got: ([(pytest.approx(v), n) for v, n in got[0]], got[1])
