@@ -16,7 +16,10 @@ smallest doc_id that links reach.  The result is exact:
     by hash.  For lower links, whose parts would hold too little, keys are the first
     shingles, as many as a linked set may lack and one, in an order of rare before
     frequent by a sketch of how many sets hold them; passages that many documents share
-    come late in it.  The components of the candidates are the blocks, and all links
+    come late in it.  One shingle is little: the more documents, the more unlike ones
+    share one, until these chain all into one block.  So a key of few sets only
+    makes candidates of those whose sizes and counts of shingles by ranges of the hash
+    space allow a link.  The components of the candidates are the blocks, and all links
     are within blocks.
 3.  In a block, the sets of each key are a signature tree: its nodes hold OR- and
     AND-combined bitmaps of their sets and their range of sizes.  Node pairs are
@@ -59,6 +62,10 @@ FEW = 4
 RUN = 4
 #: Shingles that the parts of a set hold on average, for keys to be parts.
 HELD = 6
+#: Sets of a key that are tested pair by pair, and those of one batch that are; more are linked through the first.
+PAIRED, PAIRED_HERE = 16, 4
+#: Shingles in a range of a set's counts, at most on average, and ranges at least.
+COUNTED, RANGES = 8, 32
 #: Cells of the sketch of frequencies, the slices it is summed in, and the tasks' slices that are summed at once.
 CELL_BITS = 23
 SLICES = 64
@@ -176,17 +183,37 @@ def digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
-def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id): the size of each row's set and its digest."""
+def range_counts(own: np.ndarray) -> bytes:
+    """How many shingles of a set are in each of equal ranges of the hash space, 255 at most: a power of two of them, by its size."""
+    bits = max(RANGES.bit_length() - 1, (max(len(own) - 1, 0) // COUNTED).bit_length())
+    return np.minimum(np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def may_link(n: int, m: int, one: bytes | None, two: bytes | None, part: int, whole: int) -> bool:
+    """If sets of ``n`` and ``m`` shingles with these counts may link; they differ by what their counts differ by at least."""
+    if one is None or two is None:
+        return True
+    a, b = np.frombuffer(one, np.uint8).astype(np.int64), np.frombuffer(two, np.uint8).astype(np.int64)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = np.minimum(a[::2] + a[1::2], 255)
+    most = n + m - max(int(np.abs(a - b).sum()), abs(n - m))  # twice the intersection
+    return most * (part + whole) >= 2 * part * (n + m)
+
+
+def set_rows(docs: DataFrame, words: int, counted: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, set_id, counts): the size of each row's set, its digest and, if ``counted``, its counts by ranges."""
 
     def make():
         def rows(cols):
             found = [shingles(t, words) for t in cols["text"]]
-            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [digest(x) if len(x) else None for x in found]}
+            counts = [range_counts(x) if counted and len(x) else None for x in found]
+            return {"doc_id": cols["doc_id"], "n_shingles": [len(x) for x in found], "set_id": [digest(x) if len(x) else None for x in found], "counts": counts}
 
         return rows
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary", binary=("text",))
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_id binary, counts binary", binary=("text",))
 
 
 def frequency_steps(docs: DataFrame, words: int) -> np.ndarray:
@@ -233,13 +260,14 @@ def frequency_steps(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def key_rows(docs: DataFrame, words: int, part: int, whole: int, steps) -> DataFrame:
-    """(key, node): the keys of each set, once in a task, with the first doc_id that has it.
+    """(key, node, many): the keys of each set, once in a task, with the first doc_id that has it.
 
-    What shares a key within a batch is linked there: the key's first node stands
-    for the others, and each of them has a key with it alone.  So a key that any
-    number of documents hold has a row for each batch at most.  ``steps``: the
-    broadcast sketch, or None.
+    Where many sets of a batch share a key, its first node stands for the others, and
+    each of them has a key with it alone; so a key that any number of documents hold has
+    a few rows for each batch at most.  ``steps``: the broadcast sketch, or None, with
+    which any two are many.
     """
+    few = PAIRED_HERE if steps else 1
 
     def make():
         seen: set[bytes] = set()
@@ -261,14 +289,44 @@ def key_rows(docs: DataFrame, words: int, part: int, whole: int, steps) -> DataF
             order = np.argsort(key, kind="stable")
             key, node = key[order], node[order]
             first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
-            heads = node[first][np.cumsum(first) - 1]
-            pairs = np.unique(np.stack([node[~first], heads[~first]]), axis=1)
+            of = np.cumsum(first) - 1
+            many = (np.bincount(of) > few)[of]
+            heads = node[first][of]
+            pairs = np.unique(np.stack([node[~first & many], heads[~first & many]]), axis=1)
             own = scrambled(pairs[0].view(np.uint64) * K[0] + scrambled(pairs[1].view(np.uint64)))
-            return {"key": np.concatenate([key[first], own, own]).view(np.int64), "node": np.concatenate([node[first], *pairs])}
+            kept = first | ~many
+            return {"key": np.concatenate([key[kept], own, own]).view(np.int64), "node": np.concatenate([node[kept], *pairs]), "many": np.concatenate([many[kept], np.ones(2 * len(own), bool)])}
+
+        return rows
+
+    return map_rows(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), make, "key long, node long, many boolean", binary=("text",))
+
+
+def candidate_pairs(rows: DataFrame, known: DataFrame, part: int, whole: int, paired: int = PAIRED) -> DataFrame:
+    """(a, b): of the sets of a key, those that may link; each with the first where they are over ``paired``, or many in a batch.
+
+    ``known``: (doc_id, n_shingles, set_id, counts) of the sets.  Documents with several are not tested.
+    """
+    key = Window.partitionBy("key")
+    shared = rows.withColumns({"head": F.min("node").over(key), "last": F.max("node").over(key), "many": F.max("many").over(key), "rows": F.count(F.lit(1)).over(key)}).where("head <> last")
+    shared = settle(shared.withColumn("many", F.expr(f"many OR rows > {paired}")).select("key", "node", "head", "many"), "shared", heavy=True)
+    few = shared.where("NOT many").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).select("nodes").distinct()
+    pair = few.select("nodes", F.posexplode("nodes").alias("i", "a")).select("a", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("b")).distinct()
+    one = known.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.min("n_shingles").alias("n"), F.min("counts").alias("counts"))
+    one = settle(one.select("doc_id", "n", F.when(F.col("lo") == F.col("hi"), F.col("counts")).alias("counts")), "counts")
+    # the same joins at every size: the pairs grow with the input, so they are never broadcast
+    left = pair.hint("merge").join(one.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("of_a")), "a")
+    both = left.hint("merge").join(one.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("of_b")), "b")
+
+    def make():
+        def rows(cols):
+            found = [(a, b) for a, b, *x in zip(*(cols[k] for k in ("a", "b", "n_a", "n_b", "of_a", "of_b")), strict=True) if may_link(*x, part, whole)]
+            return {"a": [a for a, _ in found], "b": [b for _, b in found]}
 
         return rows
 
-    return map_rows(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), make, "key long, node long", binary=("text",))
+    tested = map_rows(both.select("a", "b", "n_a", "n_b", "of_a", "of_b"), make, "a long, b long")
+    return tested.union(shared.where("many AND node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
 
 
 class Tree:
@@ -433,14 +491,18 @@ def similar(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     Every step that a later one reads twice is a written table.
     """
     steps = None if held(part, whole) >= HELD else docs.sparkSession.sparkContext.broadcast(frequency_steps(docs, words))
-    sets = settle(set_rows(docs, words), "sets")
+    sets = settle(set_rows(docs, words, steps is not None), "sets")
     known = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     # written, so that the join is between plain shuffles, which adaptive execution can split
     smallest = settle(known.groupBy("set_id").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).where("b < most").select(F.col("set_id").alias("own"), "b"), "smallest")
     equal = settle(known.join(smallest, F.col("set_id") == F.col("own")).where("doc_id > b").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b")), "equal")
     # batches have combined their rows, so a key has one for each batch at most
-    shared = key_rows(docs, words, part, whole, steps).withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head")
-    candidates = components(shared.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    rows = key_rows(docs, words, part, whole, steps)
+    if steps:
+        shared = candidate_pairs(rows, known, part, whole)
+    else:
+        shared = rows.withColumn("head", F.min("node").over(Window.partitionBy("key"))).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    candidates = components(shared)
     sizes = sets.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("i")).agg(F.max("n_shingles").alias("n"))
     # of equal sets the smallest doc_id stands for all; documents with several texts stand for themselves as well
     several = known.groupBy(F.col("doc_id").alias("s")).agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("s")

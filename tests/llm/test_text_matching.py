@@ -373,6 +373,46 @@ def test_linked_sets_share_a_key(part, ordered):
                 assert np.intersect1d(signature_tree.keys(a, part, 100, steps), signature_tree.keys(b, part, 100, steps)).size
 
 
+@pytest.mark.parametrize("part", [50, 80])
+def test_counts_by_ranges_lose_no_link(part):
+    """Linked sets may link by their counts, of one or of two numbers of ranges; most unlike ones that share a shingle may not."""
+    pick = np.random.default_rng(part)
+    unlike = 0
+    for size in [*range(1, 60), 250, 256, 257, 300, 5000]:
+        a = np.unique(pick.integers(0, 1 << 64, size, np.uint64))
+        may = lambda b: signature_tree.may_link(len(a), len(b), signature_tree.range_counts(a), signature_tree.range_counts(b), part, 100)  # noqa: B023, E731
+        for gone in range(0, size + 1, max(1, size // 50)):
+            for new in range(0, size + 1, max(1, size // 7)):
+                b = np.unique(np.concatenate([pick.permutation(a)[gone:], pick.integers(0, 1 << 64, new, np.uint64)]))
+                if len(b) and 100 * (size - gone) >= part * (size + new):
+                    assert may(b)
+        unlike += may(np.unique(np.concatenate([a[:1], pick.integers(0, 1 << 64, size, np.uint64)])))
+    assert unlike <= 12
+    crowded = np.arange(1000, dtype=np.uint64)  # more than 255 in a range
+    assert signature_tree.may_link(1000, 900, signature_tree.range_counts(crowded), signature_tree.range_counts(crowded[:900]), part, 100)
+
+
+def test_unlike_documents_are_not_chained_into_a_block(spark, monkeypatch):
+    """Documents of passages that each stand in one other document, too: all of their shingles are shared, and none of them link."""
+    n, shifts = 120, (1, 5, 11, 17, 31)
+    shared = lambda i, s: words(30, f"{i % n} {s}")
+    texts = [" ".join(shared(k, s) for s in shifts for k in (i, i - s)) for i in range(n)]
+    texts += [texts[0] + " and more", texts[3] + " or less"]
+    blocks, settle = [], signature_tree.settle
+
+    def kept(df, name, heavy=False):
+        out = settle(df, name, heavy)
+        if name == "blocks":
+            blocks.extend(r["m"] for r in out.groupBy("root").agg(F.count(F.lit(1)).alias("m")).collect())
+        return out
+
+    monkeypatch.setattr(signature_tree, "settle", kept)
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["component_id"] for r in signature_tree.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80, 100).collect()}
+    assert got == plain_components(plain_sets(rows, 5), 80) and got[n] == 0 and got[n + 1] == 3
+    assert max(blocks) < 10
+
+
 def test_frequencies_are_summed_in_a_tree(spark, monkeypatch):
     """However many tasks count and however few are summed at once."""
     df = spark.createDataFrame([(i, f"common words here {i}") for i in range(200)], "doc_id long, text string")
